@@ -172,8 +172,8 @@ class Fixtures:
     @cached_property
     def phenotype(self) -> DataFrame:
         """Phenotype values of every sample for the first 20 phenotypes."""
-        s = self.sample.select("user_id", F.explode(F.sequence(F.lit(0), F.lit(N_PHENOTYPE_PHENOS - 1)))
-                               .cast("bigint").alias("pid"))
+        s = (self.sample.select("user_id", F.explode(F.sequence(F.lit(0), F.lit(N_PHENOTYPE_PHENOS - 1))).alias("k"))
+             .select("user_id", F.col("k").cast("bigint").alias("pid")))
         return (s.join(self.pheno, "pid")
                 .selectExpr("user_id", "pid", "trait_type", "phenocode", "pheno_sex", "coding", "modifier",
                             "CASE WHEN (user_id + pid) % 11 = 0 THEN NULL "
