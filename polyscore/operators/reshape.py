@@ -92,6 +92,8 @@ def add_dim_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> Dat
     """
     from pyspark.sql import Window
 
+    from polyscore.session import scratch_dir
+    scratch_dir(df.sparkSession)
     sorted_df = (df.orderBy(*order)
                  .withColumn("_p", F.spark_partition_id())
                  .withColumn("_mid", F.monotonically_increasing_id())

@@ -79,6 +79,14 @@ FX_SQL: dict[str, str] = {
         "max(s.af_controls) AS af_controls "
         "FROM fx_sumstats s JOIN fx_meta_member m ON s.pid = m.pid AND s.pop = m.pop "
         "GROUP BY s.pid, s.vid, m.meta_ix"),
+    "fx_own_pops": (
+        "SELECT pid, array_to_string(list_sort(list(pop)), ',') AS own_pops_str FROM fx_pheno_pop GROUP BY pid"),
+    "fx_clump": (
+        "SELECT *, NSIG + S05 + S01 + S001 + S0001 AS TOTAL FROM (SELECT m.pid, m.vid, o.own_pops_str AS clump_pops_str, "
+        "m.p AS P, CAST(m.vid % 5 AS INTEGER) AS NSIG, CAST((m.vid + m.pid) % 4 AS INTEGER) AS S05, "
+        "CAST(m.pid % 3 AS INTEGER) AS S01, CAST(m.vid % 2 AS INTEGER) AS S001, "
+        "CAST((m.vid * m.pid) % 3 AS INTEGER) AS S0001 "
+        "FROM fx_min m JOIN fx_own_pops o ON m.pid = o.pid WHERE m.p < 1e-3 AND m.vid % 50 <> 0) c"),
     "fx_gene": (
         "SELECT CAST(1 + n_nationkey % 22 AS VARCHAR) AS chrom, "
         "CAST((n_nationkey * 37 % 90) * 20000 AS INTEGER) AS start_pos, "

@@ -26,4 +26,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     import polyscore.queries.q_basic  # noqa: F401
     import polyscore.queries.q_score  # noqa: F401
+    import polyscore.queries.q_relational  # noqa: F401
     return REGISTRY

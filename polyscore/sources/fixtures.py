@@ -160,6 +160,23 @@ class Fixtures:
         from polyscore.operators.meta import meta_analysis
         return meta_analysis(self.sumstats, self.meta_data)
 
+    @cached_property
+    def own_pops(self) -> DataFrame:
+        """(pid, own_pops_str): the phenotype's populations, sorted, comma-joined."""
+        return self.pheno_pop.groupBy("pid").agg(
+            F.array_join(F.array_sort(F.collect_list("pop")), ",").alias("own_pops_str"))
+
+    @cached_property
+    def clump(self) -> DataFrame:
+        """Clump results on each phenotype's own population set: index variants with their tallies."""
+        m = self.min_stat.where("p < 1e-3 AND vid % 50 <> 0")
+        return (m.join(self.own_pops, "pid")
+                .selectExpr("pid", "vid", "own_pops_str AS clump_pops_str", "p AS P",
+                            "CAST(vid % 5 AS INT) AS NSIG", "CAST((vid + pid) % 4 AS INT) AS S05",
+                            "CAST(pid % 3 AS INT) AS S01", "CAST(vid % 2 AS INT) AS S001",
+                            "CAST((vid * pid) % 3 AS INT) AS S0001")
+                .selectExpr("*", "NSIG + S05 + S01 + S001 + S0001 AS TOTAL"))
+
     @cached_property
     def gene(self) -> DataFrame:
         return self.table("nation").selectExpr(
