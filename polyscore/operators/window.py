@@ -36,8 +36,8 @@ def rank_within(df: DataFrame, key: Sequence[str], order: Sequence, name: str =
 
 
 def hash_order_key(col: str, seed: int) -> F.Column:
-    """Repeatable pseudo-random order key of a sample id (replaces a random normal draw)."""
-    return F.xxhash64(F.col(col).cast("string"), F.lit(seed))
+    """Repeatable pseudo-random order key of a sample id (replaces a random normal draw): md5(id || seed)."""
+    return F.md5(F.concat(F.col(col).cast("string"), F.lit(str(seed))))
 
 
 def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence, n_col_or_int, name: str = "_rn") -> DataFrame:

@@ -125,6 +125,8 @@ def with_fx(body: str) -> str:
         return body
     ctes = ",\n".join(f"{n} AS ({FX_SQL[n]})" for n in order)
     stripped = body.lstrip()
+    if stripped[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{stripped[15:]}"
     if stripped[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
