@@ -186,6 +186,11 @@ class Fixtures:
             "'G' || CAST(n_nationkey AS STRING) AS gene_name",
         )
 
+    @cached_property
+    def h2(self) -> DataFrame:
+        """Heritability z-scores keyed by phenocode."""
+        return self.pheno.selectExpr("phenocode AS phenotype", "((pid * 7) % 50) / 1e1 AS h2_z")
+
     @cached_property
     def phenotype(self) -> DataFrame:
         """Phenotype values of every sample for the first 20 phenotypes."""
