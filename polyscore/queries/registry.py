@@ -30,4 +30,5 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
     import polyscore.queries.q_export  # noqa: F401
     import polyscore.queries.q_clump  # noqa: F401
     import polyscore.queries.q_eval  # noqa: F401
+    import polyscore.queries.q_more  # noqa: F401
     return REGISTRY
