@@ -71,18 +71,16 @@ def select_phenos_for_clump(phenos: DataFrame, pop: str, mode: str, pops_col: st
 
 
 def slice_modulo(df: DataFrame, order: Sequence[str], n_slices: int, slice_idx: int | None = None) -> DataFrame:
-    """Work slicing: row index (0-based, total order) mod n.  Manifest-sized inputs only."""
-    from pyspark.sql import Window
-    w = Window.orderBy(*order)
-    out = df.withColumn("slice", ((F.row_number().over(w) - 1) % n_slices).cast("int"))
+    """Work slicing: row index (0-based, total order) mod n."""
+    from polyscore.operators.reshape import add_dim_index
+    out = add_dim_index(df, order, "_i").withColumn("slice", (F.col("_i") % n_slices).cast("int")).drop("_i")
     return out if slice_idx is None else out.where(F.col("slice") == slice_idx)
 
 
 def slice_contiguous(df: DataFrame, order: Sequence[str], n_slices: int, slice_idx: int | None = None) -> DataFrame:
-    """Contiguous slices of ceil(n / k) rows, numbered from 1.  Manifest-sized inputs only."""
-    from pyspark.sql import Window
-    w = Window.orderBy(*order)
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    size = F.ceil(n / F.lit(n_slices))
-    out = df.withColumn("slice", ((F.row_number().over(w) - 1) / size).cast("int") + 1)
+    """Contiguous slices of ceil(n / k) rows in order, numbered from 1."""
+    from polyscore.operators.reshape import add_dim_index
+    n = df.count()
+    size = max(1, -(-n // n_slices))
+    out = add_dim_index(df, order, "_i").withColumn("slice", (F.floor(F.col("_i") / size) + 1).cast("int")).drop("_i")
     return out if slice_idx is None else out.where(F.col("slice") == slice_idx)
