@@ -105,3 +105,18 @@ def add_dim_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> Dat
     return (sorted_df.join(F.broadcast(offsets), "_p")
             .withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + within)
             .drop("_p", "_mid", "_off"))
+
+
+def densify_thresholds(weights: DataFrame, thresholds=P_THRESHOLDS, beta: str = "beta", p: str = "p") -> DataFrame:
+    """Make every (cell, threshold) present: weight = beta if P < t else 0.0 (missing or NaN -> 0.0).
+
+    The study densifies the whole variants x columns grid so a dense block
+    matrix can be written; in long form an absent cell already means weight
+    0, so only cells present at some threshold are expanded, by a generator
+    over the constant threshold list (no cartesian product with the grid).
+    """
+    arr = F.array(*[F.struct(F.lit(n).alias("p_threshold_name"), F.lit(float(t)).alias("p_threshold"))
+                    for n, t in thresholds])
+    w = weights.select("*", F.inline(arr))
+    val = F.when(F.col(beta).isNotNull() & ~F.isnan(beta) & (F.col(p) < F.col("p_threshold")), F.col(beta))
+    return w.withColumn("weight", F.coalesce(val, F.lit(0.0)))

@@ -381,3 +381,28 @@ def union_tables(spark, sf):
 
 
 del POPS
+
+
+@register("densify", """
+SELECT m.pid, m.vid, t.p_threshold_name, t.p_threshold,
+  CASE WHEN m.beta IS NOT NULL AND NOT isnan(m.beta) AND m.p < t.p_threshold THEN m.beta ELSE 0.0 END AS weight
+FROM fx_min m CROSS JOIN fx_thresholds t""")
+def densify(spark, sf):
+    fx = Fixtures(spark, sf)
+    return rs.densify_thresholds(fx.min_stat).select("pid", "vid", "p_threshold_name", "p_threshold", "weight")
+
+
+@register("full_clump", """
+WITH u AS (SELECT pid, vid, clump_pops_str, TOTAL FROM fx_clump
+  UNION ALL SELECT pid, vid, pop AS clump_pops_str, CAST(vid % 5 AS INTEGER) AS TOTAL FROM fx_sumstats
+  WHERE p < 1e-3 AND vid % 50 <> 0)
+SELECT pid, vid, string_agg(clump_pops_str, ';' ORDER BY clump_pops_str) AS clump_pops, CAST(count(*) AS INTEGER) AS n_sets,
+  CAST(sum(TOTAL) AS BIGINT) AS sum_total
+FROM u GROUP BY pid, vid""")
+def full_clump(spark, sf):
+    from polyscore.plans.clumping import full_clump as build
+    fx = Fixtures(spark, sf)
+    single = (fx.sumstats.where("p < 1e-3 AND vid % 50 <> 0")
+              .select("pid", "vid", F.col("pop").alias("clump_pops_str"), F.expr("CAST(vid % 5 AS INT)").alias("TOTAL")))
+    own = fx.clump.select("pid", "vid", "clump_pops_str", "TOTAL")
+    return build([own, single])
