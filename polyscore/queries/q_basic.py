@@ -49,7 +49,9 @@ def _pheno_pop_tsv(spark, sf):
         fx.pheno_pop.select("pid", "pop", "n_cases", "n_controls", "lambda_gc"), p))
 
 
-@register("text_inferred_scan")
+@register("text_inferred_scan", """
+SELECT CAST(pid AS INTEGER) AS pid, pop, CAST(n_cases AS INTEGER) AS n_cases, CAST(n_controls AS INTEGER) AS n_controls,
+  lambda_gc FROM fx_pheno_pop""")
 def text_inferred_scan(spark, sf):
     return text.read_delimited(spark, _pheno_pop_tsv(spark, sf), infer=True)
 
@@ -110,7 +112,9 @@ def clump_concat(spark, sf):
                                            "F", "P", "TOTAL", "NSIG", "S05", "S01", "S001", "S0001", "SP2")
 
 
-@register("finngen_scan")
+@register("finngen_scan", """
+SELECT CAST(v.chrom AS INTEGER) AS "#chrom", v.pos, v.ref, v.alt, m.p AS pval, CAST(m.pid AS INTEGER) AS pid
+FROM fx_min m JOIN fx_variant v ON m.vid = v.vid""")
 def finngen_scan(spark, sf):
     """Block-gzip text with header (not splittable): read, then spread over partitions."""
     fx = Fixtures(spark, sf)
@@ -199,12 +203,16 @@ def checkpoint_roundtrip(spark, sf):
     return sinks.materialize(fx.min_stat, path, mode="read_if_exists")
 
 
-@register("per_pheno_export")
+@register("per_pheno_export", f"""
+SELECT {PHENO_ID_SQL} AS pheno_id, s.vid, s.pop, s.beta, s.p FROM fx_sumstats s JOIN fx_pheno ph ON s.pid = ph.pid
+WHERE s.pid % 5 <> 0""")
 def per_pheno_export(spark, sf):
-    return spark.read.option("header", True).option("sep", "\t").csv(_per_pheno_files(spark, sf))
+    df = text.read_delimited(spark, _per_pheno_files(spark, sf), schema="vid bigint, pop string, beta double, p double")
+    return df.select("pheno_id", "vid", "pop", "beta", "p")
 
 
-@register("tsv_export")
+@register("tsv_export", """
+SELECT chrom || ' ' || CAST(pos AS VARCHAR) || ' ' || ref || ' ' || alt AS value FROM fx_variant""")
 def tsv_export(spark, sf):
     from polyscore.session import scratch_path
     fx = Fixtures(spark, sf)
