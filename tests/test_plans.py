@@ -28,3 +28,18 @@ def test_region_query_prunes_partitions(spark, sf_small):
     plan = df._jdf.queryExecution().sparkPlan().toString()
     assert "PartitionFilters: [isnotnull(chrom" in plan or "PartitionFilters: [" in plan
     assert "PushedFilters" in plan
+
+
+def test_bucketed_genotypes_join_without_genotype_shuffle(spark, sf_small):
+    """With broadcast off (as at scale) only the weights are shuffled to the genotype bucket layout."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = ent.queries()
+        bucketed = q["prs_bucketed"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+        plain = q["prs_thresholds"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in bucketed and "SortMergeJoin" in bucketed
+    assert bucketed.count("Exchange hashpartitioning(vid") == 1
+    assert plain.count("Exchange hashpartitioning(vid") == 2
