@@ -466,7 +466,7 @@ def format_stat(spark, sf):
 
 
 @register("delimit_pops", """
-SELECT pid, pops, len(string_split(pops, ',')) AS n_pops FROM
+SELECT pid, pops, CAST(len(string_split(pops, ',')) AS INTEGER) AS n_pops FROM
   (SELECT pid, array_to_string(list_sort(list(pop)), ',') AS pops FROM fx_pheno_pop GROUP BY pid)""")
 def delimit_pops(spark, sf):
     fx = Fixtures(spark, sf)
