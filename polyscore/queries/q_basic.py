@@ -324,35 +324,43 @@ def hq_variants(spark, sf):
     return fx.variant.where(F.col("high_quality")).select("vid", "chrom", "pos")
 
 
+_CI_COLS = f"{PHENO_ID_SQL} AS pheno_id, {VARID_SQL} AS SNP, v.chrom, v.pos"
+
+
 @register("clump_input_single", f"""
-SELECT {PHENO_ID_SQL} AS pheno_id, {VARID_SQL} AS SNP, v.chrom, v.pos, s.p AS P
-FROM fx_sumstats s JOIN fx_num_pops n ON s.pid = n.pid JOIN fx_pheno ph ON s.pid = ph.pid
-JOIN fx_variant v ON s.vid = v.vid
-WHERE n.num_pops = 1 AND s.p IS NOT NULL AND coalesce(NOT s.low_confidence, true) AND coalesce(v.high_quality, true)""")
+SELECT {_CI_COLS}, s.p AS P, 'single' AS source
+FROM fx_sumstats s JOIN fx_pheno ph ON s.pid = ph.pid JOIN fx_variant v ON s.vid = v.vid
+WHERE s.pop = 'EUR' AND s.p IS NOT NULL AND coalesce(NOT s.low_confidence, true) AND coalesce(v.high_quality, true)""")
 def clump_input_single(spark, sf):
     from polyscore.plans.clumping import clump_input
-    fx = Fixtures(spark, sf)
-    return clump_input(fx, mode="single", high_quality=True)
+    return clump_input(Fixtures(spark, sf), selection="single_pop", pop="EUR")
 
 
 @register("clump_input_meta", f"""
-SELECT {PHENO_ID_SQL} AS pheno_id, {VARID_SQL} AS SNP, v.chrom, v.pos, m.p AS P
-FROM fx_meta m JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
-WHERE m.meta_ix = 0 AND m.p IS NOT NULL AND coalesce(v.high_quality, true)""")
+SELECT {_CI_COLS}, m.p AS P, 'meta' AS source
+FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
+WHERE n.num_pops > 1 AND m.meta_ix = 0 AND m.p IS NOT NULL AND coalesce(v.high_quality, true)
+UNION ALL
+SELECT {_CI_COLS}, s.p AS P, 'single' AS source
+FROM fx_sumstats s JOIN fx_num_pops n ON s.pid = n.pid JOIN fx_pheno ph ON s.pid = ph.pid JOIN fx_variant v ON s.vid = v.vid
+WHERE n.num_pops = 1 AND s.p IS NOT NULL AND coalesce(NOT s.low_confidence, true) AND coalesce(v.high_quality, true)""")
 def clump_input_meta(spark, sf):
     from polyscore.plans.clumping import clump_input
-    fx = Fixtures(spark, sf)
-    return clump_input(fx, mode="meta", high_quality=True)
+    return clump_input(Fixtures(spark, sf), selection="max_pops")
 
 
 @register("clump_input_loo", f"""
-SELECT {PHENO_ID_SQL} AS pheno_id, {VARID_SQL} AS SNP, v.chrom, v.pos, m.p AS P
-FROM fx_meta m JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
-WHERE m.meta_ix = 5 AND m.p IS NOT NULL AND coalesce(v.high_quality, true)""")
+SELECT {_CI_COLS}, m.p AS P, 'loo' AS source
+FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
+WHERE n.num_pops = 6 AND m.meta_ix = 5 AND m.p IS NOT NULL
+UNION ALL
+SELECT {_CI_COLS}, m.p AS P, 'meta' AS source
+FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
+WHERE n.num_pops = 5 AND m.pid NOT IN (SELECT pid FROM fx_pheno_pop WHERE pop = 'EUR')
+  AND m.meta_ix = 0 AND m.p IS NOT NULL AND coalesce(v.high_quality, true)""")
 def clump_input_loo(spark, sf):
     from polyscore.plans.clumping import clump_input
-    fx = Fixtures(spark, sf)
-    return clump_input(fx, mode="loo", pop="EUR", high_quality=True)
+    return clump_input(Fixtures(spark, sf), selection="not_pop", pop="EUR")
 
 
 @register("pheno_selection", """
