@@ -95,7 +95,7 @@ def _cands(fx: Fixtures):
 
 @register("ld_pairs", LD_CTE.rstrip().rstrip(",") + "\nSELECT * FROM pr")
 def ld_pairs(spark, sf):
-    return _panel_pairs(Fixtures(spark, sf))
+    return _panel_pairs(Fixtures(spark, sf)).drop("panel")
 
 
 @register("ld_clump", CLUMP_CTE.rstrip().rstrip(",") + "\nSELECT * FROM assigned")
@@ -125,3 +125,116 @@ def clump_tallies(spark, sf):
     cands = _cands(fx)
     assigned = cl.ld_clump(cands, _panel_pairs(fx))
     return cl.clump_tallies(assigned, cands, fx.variant.select("vid", ids.variant_id().alias("varid")))
+
+
+def panels_ld_cte(panel_sets_sql: str) -> str:
+    """Oracle CTEs for LD pairs of several panels (panel = population set joined by ',')."""
+    return f"""
+WITH RECURSIVE panel_sets AS ({panel_sets_sql}),
+panel AS (SELECT panel, user_id FROM (SELECT ps.panel, s.user_id,
+  row_number() OVER (PARTITION BY ps.panel ORDER BY md5(s.s || '1'), s.user_id) AS rn
+  FROM panel_sets ps JOIN fx_sample s ON list_contains(string_split(ps.panel, ','), s.pop)) WHERE rn <= 5000),
+pn AS (SELECT panel, count(*) AS n FROM panel GROUP BY panel),
+g AS (SELECT p.panel, d.vid, d.user_id, CAST(d.dosage AS BIGINT) AS x FROM fx_dosage d JOIN panel p ON d.user_id = p.user_id
+  WHERE d.dosage <> 0),
+mom AS (SELECT panel, vid, sum(x) AS sx, sum(x * x) AS sxx FROM g GROUP BY panel, vid),
+cp AS (SELECT a.vid AS vid_a, b.vid AS vid_b, a.chrom, a.pos AS pos_a, b.pos AS pos_b FROM fx_variant a
+  JOIN fx_variant b ON a.chrom = b.chrom AND b.pos - a.pos BETWEEN 0 AND 500000 AND (a.pos < b.pos OR (a.pos = b.pos AND a.vid < b.vid))),
+xy AS (SELECT ga.panel, ga.vid AS vid_a, gb.vid AS vid_b, sum(ga.x * gb.x) AS sxy FROM g ga JOIN g gb
+  ON ga.panel = gb.panel AND ga.user_id = gb.user_id AND ga.vid <> gb.vid GROUP BY 1, 2, 3),
+st AS (SELECT ma.panel, cp.*, pn.n * coalesce(xy.sxy, 0) - ma.sx * mb.sx AS num, pn.n * ma.sxx - ma.sx * ma.sx AS da,
+  pn.n * mb.sxx - mb.sx * mb.sx AS db FROM cp JOIN mom ma ON ma.vid = cp.vid_a
+  JOIN mom mb ON mb.vid = cp.vid_b AND mb.panel = ma.panel JOIN pn ON pn.panel = ma.panel
+  LEFT JOIN xy ON xy.panel = ma.panel AND xy.vid_a = cp.vid_a AND xy.vid_b = cp.vid_b),
+pr AS (SELECT panel, vid_a, vid_b, chrom, pos_a, pos_b, CAST(num * num AS DOUBLE) / CAST(da * db AS DOUBLE) AS r2 FROM st
+  WHERE da > 0 AND db > 0 AND CAST(num * num AS DOUBLE) / CAST(da * db AS DOUBLE) >= 0.1),
+"""
+
+
+def clump_job_sql(cand_sql: str) -> str:
+    """Oracle: sequential greedy clump (recursive CTE) of candidates (pheno_id, panel, vid, P, chrom, pos) + tallies."""
+    return panels_ld_cte("SELECT DISTINCT panel FROM cand0") .replace(
+        "WITH RECURSIVE panel_sets", f"WITH RECURSIVE cand0 AS ({cand_sql}),\npanel_sets") + f"""
+cand AS (SELECT * FROM cand0 WHERE P <= 1),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY pheno_id, chrom ORDER BY P, pos, vid) AS k FROM cand),
+edges AS (SELECT a.pheno_id, a.vid AS u, b.vid AS v FROM pr JOIN cand a ON a.vid = pr.vid_a AND a.panel = pr.panel
+    JOIN cand b ON b.vid = pr.vid_b AND b.pheno_id = a.pheno_id
+  UNION ALL SELECT a.pheno_id, b.vid AS u, a.vid AS v FROM pr JOIN cand a ON a.vid = pr.vid_a AND a.panel = pr.panel
+    JOIN cand b ON b.vid = pr.vid_b AND b.pheno_id = a.pheno_id),
+nb AS (SELECT pheno_id, u, list(v) AS nbrs FROM edges GROUP BY pheno_id, u),
+walk(pheno_id, chrom, k, assigned, idx) AS (
+  SELECT DISTINCT pheno_id, chrom, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) FROM ordered
+  UNION ALL
+  SELECT w.pheno_id, w.chrom, w.k + 1,
+    CASE WHEN list_contains(w.assigned, o.vid) THEN w.assigned
+         ELSE list_concat(w.assigned, list_concat([o.vid], coalesce(n.nbrs, CAST([] AS BIGINT[])))) END,
+    CASE WHEN list_contains(w.assigned, o.vid) THEN w.idx ELSE list_append(w.idx, o.vid) END
+  FROM walk w JOIN ordered o ON o.pheno_id = w.pheno_id AND o.chrom = w.chrom AND o.k = w.k + 1
+  LEFT JOIN nb n ON n.pheno_id = o.pheno_id AND n.u = o.vid),
+sizes AS (SELECT pheno_id, chrom, max(k) AS kmax FROM ordered GROUP BY pheno_id, chrom),
+index_set AS (SELECT w.pheno_id, unnest(w.idx) AS vid FROM walk w JOIN sizes z ON z.pheno_id = w.pheno_id
+  AND z.chrom = w.chrom AND w.k = z.kmax),
+mem AS (SELECT e.pheno_id, e.v AS vid, arg_min(e.u, ou.k) AS index_vid FROM edges e
+  JOIN index_set i ON i.pheno_id = e.pheno_id AND i.vid = e.u JOIN ordered ou ON ou.pheno_id = e.pheno_id AND ou.vid = e.u
+  WHERE NOT EXISTS (SELECT 1 FROM index_set j WHERE j.pheno_id = e.pheno_id AND j.vid = e.v) GROUP BY e.pheno_id, e.v),
+assigned AS (SELECT pheno_id, vid, vid AS index_vid, true AS is_index FROM index_set
+  UNION ALL SELECT pheno_id, vid, index_vid, false AS is_index FROM mem),
+vv AS (SELECT vid, {VARID_SQL} AS varid FROM fx_variant),
+t AS (SELECT a.pheno_id, a.index_vid AS vid, CAST(count(*) AS INTEGER) AS TOTAL,
+  CAST(count(*) FILTER (WHERE c.P > 0.05) AS INTEGER) AS NSIG,
+  CAST(count(*) FILTER (WHERE c.P > 0.01 AND c.P <= 0.05) AS INTEGER) AS S05,
+  CAST(count(*) FILTER (WHERE c.P > 0.001 AND c.P <= 0.01) AS INTEGER) AS S01,
+  CAST(count(*) FILTER (WHERE c.P > 0.0001 AND c.P <= 0.001) AS INTEGER) AS S001,
+  CAST(count(*) FILTER (WHERE c.P <= 0.0001) AS INTEGER) AS S0001,
+  string_agg(vv.varid || '(1)', ',' ORDER BY c.pos, c.vid) AS SP2
+  FROM assigned a JOIN cand c ON c.pheno_id = a.pheno_id AND c.vid = a.vid JOIN vv ON vv.vid = a.vid
+  WHERE NOT a.is_index GROUP BY a.pheno_id, a.index_vid)
+SELECT i.pheno_id, i.vid, c.chrom AS CHR, 1 AS F, vv.varid AS SNP, c.pos AS BP, c.P,
+  coalesce(t.TOTAL, 0) AS TOTAL, coalesce(t.NSIG, 0) AS NSIG, coalesce(t.S05, 0) AS S05, coalesce(t.S01, 0) AS S01,
+  coalesce(t.S001, 0) AS S001, coalesce(t.S0001, 0) AS S0001, coalesce(t.SP2, 'NONE') AS SP2
+FROM assigned i JOIN cand c ON c.pheno_id = i.pheno_id AND c.vid = i.vid JOIN vv ON vv.vid = i.vid
+LEFT JOIN t ON t.pheno_id = i.pheno_id AND t.vid = i.vid WHERE i.is_index"""
+
+
+_PHENO_ID = ("replace(replace(trait_type || '-' || phenocode || '-' || pheno_sex || "
+             "CASE WHEN length(coding) > 0 THEN '-' || coding ELSE '' END || "
+             "CASE WHEN length(modifier) > 0 THEN '-' || modifier ELSE '' END, ' ', '_'), '/', '_')")
+
+CAND_SINGLE_EUR = f"""SELECT {_PHENO_ID} AS pheno_id, 'EUR' AS panel, s.vid, s.p AS P, v.chrom, v.pos
+  FROM fx_sumstats s JOIN fx_pheno ph ON s.pid = ph.pid JOIN fx_variant v ON s.vid = v.vid
+  WHERE s.pop = 'EUR' AND s.p IS NOT NULL AND coalesce(NOT s.low_confidence, true) AND coalesce(v.high_quality, true)"""
+
+CAND_MAX_POPS = f"""SELECT {_PHENO_ID} AS pheno_id, o.own_pops_str AS panel, m.vid, m.p AS P, v.chrom, v.pos
+  FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
+  JOIN fx_own_pops o ON o.pid = m.pid
+  WHERE n.num_pops > 1 AND m.meta_ix = 0 AND m.p IS NOT NULL AND coalesce(v.high_quality, true)
+  UNION ALL
+  SELECT {_PHENO_ID} AS pheno_id, o.own_pops_str AS panel, s.vid, s.p AS P, v.chrom, v.pos
+  FROM fx_sumstats s JOIN fx_num_pops n ON s.pid = n.pid JOIN fx_pheno ph ON s.pid = ph.pid JOIN fx_variant v ON s.vid = v.vid
+  JOIN fx_own_pops o ON o.pid = s.pid
+  WHERE n.num_pops = 1 AND s.p IS NOT NULL AND coalesce(NOT s.low_confidence, true) AND coalesce(v.high_quality, true)"""
+
+
+def _clump_job(spark, sf, selection, pop=None):
+    fx = Fixtures(spark, sf)
+    assigned, cands = lc.clump_job(fx, selection=selection, pop=pop)
+    varids = fx.variant.select("vid", ids.variant_id().alias("varid"))
+    return cl.clump_tallies(assigned, cands, varids, key="pheno_id")
+
+
+@register("clump_job_single", clump_job_sql(CAND_SINGLE_EUR))
+def clump_job_single(spark, sf):
+    return _clump_job(spark, sf, "single_pop", "EUR")
+
+
+@register("clump_job_max_pops", clump_job_sql(CAND_MAX_POPS))
+def clump_job_max_pops(spark, sf):
+    return _clump_job(spark, sf, "max_pops")
+
+
+@register("ld_pairs_panels", panels_ld_cte("SELECT DISTINCT own_pops_str AS panel FROM fx_own_pops").rstrip().rstrip(",")
+          + "\nSELECT * FROM pr")
+def ld_pairs_panels(spark, sf):
+    fx = Fixtures(spark, sf)
+    sets = fx.own_pops.select(F.col("own_pops_str").alias("panel")).distinct()
+    return lc.panels_ld_pairs(fx.dosage, lc.panel_samples(fx.sample.select("user_id", "s", "pop"), sets), fx.variant)
