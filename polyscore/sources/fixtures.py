@@ -22,6 +22,7 @@ Betas are integer valued so that sums are exact in both engines.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,10 @@ from polyscore.constants import POPS, TRAIT_TYPES
 from polyscore.sources.tables import read_table
 
 N_PHENOTYPE_PHENOS = 20
+# Input datasets of the study (stored tables in a real deployment): derived once per
+# session and read back as parquet, unless POLYSCORE_STAGE_INPUTS=0.
+STAGED_INPUTS = ["variant", "sample", "dosage", "stat", "pheno", "pheno_pop", "gene", "phenotype", "meta",
+                 "meta_data", "min_stat", "clump"]
 
 
 def case_index(expr: str, values: list[str]) -> str:
@@ -51,9 +56,29 @@ def pops_array() -> Column:
 class Fixtures:
     """Lazily built fixture DataFrames over one scale-factor folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, stage: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.stage = os.environ.get("POLYSCORE_STAGE_INPUTS", "1") != "0" if stage is None else stage
+
+    def __getattribute__(self, name):
+        if name in STAGED_INPUTS and object.__getattribute__(self, "stage"):
+            cache = object.__getattribute__(self, "__dict__")
+            key = f"_staged_{name}"
+            if key not in cache:
+                cache[key] = self.staged(name)
+            return cache[key]
+        return object.__getattribute__(self, name)
+
+    def derived(self, name: str) -> DataFrame:
+        """The fixture computed from the driver tables (no staging)."""
+        return Fixtures(self.spark, self.sf_dir, stage=False).__getattribute__(name)
+
+    def staged(self, name: str) -> DataFrame:
+        from polyscore.sources.staged import staged_path
+        path = staged_path(self.spark, self.sf_dir, f"inputs/{name}",
+                           lambda p: self.derived(name).write.mode("overwrite").parquet(p))
+        return self.spark.read.parquet(path)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)

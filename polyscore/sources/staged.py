@@ -1,19 +1,26 @@
-"""Datasets staged once per session in the shared scratch folder (text files, partitioned parquet)."""
+"""Datasets staged once per session in the shared scratch folder (text files, partitioned parquet, inputs)."""
 
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
 from polyscore.session import path_exists, scratch_dir
 
+_LOCKS: dict[str, threading.Lock] = {}
+_GUARD = threading.Lock()
+
 
 def staged_path(spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], None]) -> str:
-    """Path of a dataset derived from sf_dir, built once by ``build(path)`` (marked by _SUCCESS)."""
+    """Path of a dataset derived from sf_dir, built once by ``build(path)`` (finished = _SUCCESS marker)."""
     tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
     path = f"{scratch_dir(spark).rstrip('/')}/staged/{tag}/{name}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        build(path)
+    with _GUARD:
+        lock = _LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            build(path)
     return path
