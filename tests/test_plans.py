@@ -43,3 +43,8 @@ def test_bucketed_genotypes_join_without_genotype_shuffle(spark, sf_small):
     assert "Bucketed: true" in bucketed and "SortMergeJoin" in bucketed
     assert bucketed.count("Exchange hashpartitioning(vid") == 1
     assert plain.count("Exchange hashpartitioning(vid") == 2
+
+
+def test_sample_subset_limits_groups_before_shuffle(spark, sf_small):
+    plan = ent.queries()["sample_subset"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
