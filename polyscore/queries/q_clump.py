@@ -238,3 +238,20 @@ def ld_pairs_panels(spark, sf):
     fx = Fixtures(spark, sf)
     sets = fx.own_pops.select(F.col("own_pops_str").alias("panel")).distinct()
     return lc.panels_ld_pairs(fx.dosage, lc.panel_samples(fx.sample.select("user_id", "s", "pop"), sets), fx.variant)
+
+
+@register("genotype_subset_files", SUBSET_SQL + """
+SELECT sub.pops, v.chrom, count(*) AS n_entries, count(DISTINCT d.user_id) AS n_samples
+FROM fx_dosage d JOIN sub ON d.user_id = sub.user_id JOIN fx_variant v ON v.vid = d.vid GROUP BY sub.pops, v.chrom""")
+def genotype_subset_files(spark, sf):
+    """Subset genotypes written as one folder per (population set, chromosome), then read back."""
+    from polyscore.session import scratch_path
+    from polyscore.sources.genotypes import read_by_chrom
+    fx = Fixtures(spark, sf)
+    sets = fx.own_pops.select(F.col("own_pops_str").alias("pops")).distinct()
+    sub = sb.sample_subset(fx.sample.select("user_id", "s", "pop"), sets)
+    path = scratch_path(spark, "genotype_subset")
+    sb.write_genotype_subset(sb.genotype_subset(fx.dosage, sub, fx.variant), path)
+    back = read_by_chrom(spark, path)
+    return back.groupBy("pops", "chrom").agg(F.count(F.lit(1)).alias("n_entries"),
+                                             F.countDistinct("user_id").alias("n_samples"))
