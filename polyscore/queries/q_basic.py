@@ -167,15 +167,15 @@ def region_query(spark, sf):
         .select("pid", "vid", "pop", "chrom", "pos", "p")
 
 
-def _per_pheno_files(spark, sf):
-    """One file folder per phenotype for phenotypes with pid % 5 <> 0 (the others are 'not yet exported')."""
+def _per_pheno_files(spark, sf, withheld: bool = False):
+    """One file folder per phenotype (every phenotype; with ``withheld`` every fifth is not yet exported)."""
     fx = Fixtures(spark, sf)
 
     def build(p):
-        df = (fx.sumstats.where("pid % 5 <> 0").join(fx.pheno, "pid")
-              .select(ids.pheno_id().alias("pheno_id"), "vid", "pop", "beta", "p"))
+        src = fx.sumstats.where("pid % 5 <> 0") if withheld else fx.sumstats
+        df = src.join(fx.pheno, "pid").select(ids.pheno_id().alias("pheno_id"), "vid", "pop", "beta", "p")
         sinks.write_per_key(df, p, "pheno_id", sort_by=["vid"])
-    return staged_path(spark, sf, "per_pheno", build)
+    return staged_path(spark, sf, "per_pheno_partial" if withheld else "per_pheno", build)
 
 
 @register("manifest_existing", f"""
@@ -185,7 +185,7 @@ WHERE n.num_pops = 6 AND ph.pid % 5 <> 0
 def manifest_existing(spark, sf):
     fx = Fixtures(spark, sf)
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-               .load(_per_pheno_files(spark, sf)).select("path"))
+               .load(_per_pheno_files(spark, sf, withheld=True)).select("path"))
     names = listing.select(F.regexp_extract("path", r"pheno_id=([^/]+)/", 1).alias("pheno_id")).distinct()
     manifest = (fx.pheno.join(fx.num_pops, "pid").where("num_pops = 6")
                 .select("pid", ids.pheno_id().alias("pheno_id")))
@@ -204,8 +204,7 @@ def checkpoint_roundtrip(spark, sf):
 
 
 @register("per_pheno_export", f"""
-SELECT {PHENO_ID_SQL} AS pheno_id, s.vid, s.pop, s.beta, s.p FROM fx_sumstats s JOIN fx_pheno ph ON s.pid = ph.pid
-WHERE s.pid % 5 <> 0""")
+SELECT {PHENO_ID_SQL} AS pheno_id, s.vid, s.pop, s.beta, s.p FROM fx_sumstats s JOIN fx_pheno ph ON s.pid = ph.pid""")
 def per_pheno_export(spark, sf):
     df = text.read_delimited(spark, _per_pheno_files(spark, sf), schema="vid bigint, pop string, beta double, p double")
     return df.select("pheno_id", "vid", "pop", "beta", "p")
@@ -222,13 +221,13 @@ def tsv_export(spark, sf):
 
 
 @register("batch_append", """
-SELECT pid, vid, beta, 1 AS batch FROM fx_min WHERE p < 1e-4
-UNION ALL SELECT pid, vid, beta, 2 AS batch FROM fx_min WHERE p < 1e-4""")
+SELECT pid, vid, beta, 1 AS batch FROM fx_min
+UNION ALL SELECT pid, vid, beta, 2 AS batch FROM fx_min""")
 def batch_append(spark, sf):
     from polyscore.session import scratch_path
     fx = Fixtures(spark, sf)
     path = scratch_path(spark, "batches")
-    part = fx.min_stat.where("p < 1e-4").select("pid", "vid", "beta")
+    part = fx.min_stat.select("pid", "vid", "beta")
     sinks.append_batch(part, path)
     sinks.append_batch(part, path)
     return spark.read.parquet(path).select("pid", "vid", "beta", "batch")

@@ -370,13 +370,13 @@ def sample_size(spark, sf):
 # ---------------------------------------------------------------- set operations
 
 @register("union_tables", """
-SELECT user_id, 'case' AS status FROM fx_phenotype WHERE pid = 3 AND both_sexes = 1
-UNION ALL SELECT user_id, 'control' AS status FROM fx_phenotype WHERE pid = 3 AND both_sexes = 0""")
+SELECT pid, user_id, 'case' AS status FROM fx_phenotype WHERE both_sexes = 1
+UNION ALL SELECT pid, user_id, 'control' AS status FROM fx_phenotype WHERE both_sexes = 0""")
 def union_tables(spark, sf):
     fx = Fixtures(spark, sf)
-    ph = fx.phenotype.where("pid = 3")
-    cases = ph.where("both_sexes = 1").select("user_id", F.lit("case").alias("status"))
-    controls = ph.where("both_sexes = 0").select("user_id", F.lit("control").alias("status"))
+    ph = fx.phenotype
+    cases = ph.where("both_sexes = 1").select("pid", "user_id", F.lit("case").alias("status"))
+    controls = ph.where("both_sexes = 0").select("pid", "user_id", F.lit("control").alias("status"))
     return cases.unionByName(controls)
 
 
