@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from polyscore.constants import POPS
 from polyscore.functions import ids
 from polyscore.operators import joins as jn
 from polyscore.operators import reshape as rs
@@ -380,7 +379,6 @@ def union_tables(spark, sf):
     return cases.unionByName(controls)
 
 
-del POPS
 
 
 @register("densify", """
