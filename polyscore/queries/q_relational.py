@@ -404,3 +404,18 @@ def full_clump(spark, sf):
               .select("pid", "vid", F.col("pop").alias("clump_pops_str"), F.expr("CAST(vid % 5 AS INT)").alias("TOTAL")))
     own = fx.clump.select("pid", "vid", "clump_pops_str", "TOTAL")
     return build([own, single])
+
+
+@register("prs_labeled", _WEIGHTS_SQL.rstrip() + """,
+sc AS (SELECT d.user_id, w.pid, w.clump_pops_str, t.p_threshold_name, t.p_threshold, sum(w.beta * d.dosage) AS score
+  FROM w JOIN fx_dosage d ON w.vid = d.vid JOIN fx_thresholds t ON w.p < t.p_threshold GROUP BY 1, 2, 3, 4, 5)
+SELECT sc.user_id, ph.trait_type, ph.phenocode, ph.pheno_sex, ph.coding, ph.modifier, sc.clump_pops_str,
+  sc.p_threshold_name, sc.p_threshold, sc.score
+FROM sc JOIN fx_pheno ph ON sc.pid = ph.pid""")
+def prs_labeled(spark, sf):
+    """Scores keyed by user and the five-field phenotype key (the study's final score matrix, long form)."""
+    fx = Fixtures(spark, sf)
+    s = prs.prs_scores(prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, fx.clump), fx.dosage)
+    return prs.label_scores(s, fx.pheno).select("user_id", "trait_type", "phenocode", "pheno_sex", "coding",
+                                                "modifier", "clump_pops_str", "p_threshold_name", "p_threshold",
+                                                "score")
