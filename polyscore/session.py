@@ -72,3 +72,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["get_session", "scratch_dir", "scratch_path", "path_exists", "local_path", "os"]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``polyscore`` importable by the Python workers (once per application).
+
+    Arrow UDFs reference module-level helpers, so workers must import the
+    package; it is zipped and added with ``addPyFile``, which Spark
+    distributes to every executor (as ``--py-files`` would).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = scratch_dir(spark)
+    local_base = local_path(base) if (base.startswith("file:") or "://" not in base) else tempfile.mkdtemp()
+    os.makedirs(local_base, exist_ok=True)
+    dest = os.path.join(local_base, f"polyscore-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(dest, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(dest)
+    _SHIPPED.add(key)
