@@ -212,7 +212,8 @@ def _allele_file(fx):
 @register("fix_alleles", f"""
 WITH f AS (SELECT vid AS idx, chrom, CASE WHEN vid % 11 = 0 THEN pos + 1 ELSE pos END AS pos,
   CASE WHEN vid % 3 = 0 THEN alt ELSE ref END AS a1, CASE WHEN vid % 3 = 0 THEN ref ELSE alt END AS a2 FROM fx_variant)
-SELECT f.idx, f.chrom, f.pos, CASE WHEN v.vid IS NULL THEN NULL ELSE {VARID_SQL.replace('chrom', 'v.chrom').replace('CAST(pos', 'CAST(v.pos').replace('ref', 'v.ref').replace('alt', 'v.alt')} END AS SNP
+SELECT f.idx, f.chrom, f.pos, f.a1 AS A1_bim, f.a2 AS A2_bim,
+  CASE WHEN v.vid IS NULL THEN NULL ELSE {VARID_SQL.replace('chrom', 'v.chrom').replace('CAST(pos', 'CAST(v.pos').replace('ref', 'v.ref').replace('alt', 'v.alt')} END AS SNP
 FROM f LEFT JOIN fx_variant v ON f.chrom = v.chrom AND f.pos = v.pos AND least(f.a1, f.a2) = least(v.ref, v.alt)
   AND greatest(f.a1, f.a2) = greatest(v.ref, v.alt)""")
 def fix_alleles(spark, sf):
@@ -419,3 +420,20 @@ def prs_labeled(spark, sf):
     return prs.label_scores(s, fx.pheno).select("user_id", "trait_type", "phenocode", "pheno_sex", "coding",
                                                 "modifier", "clump_pops_str", "p_threshold_name", "p_threshold",
                                                 "score")
+
+
+@register("filtered_genotypes", """
+WITH vc AS (SELECT vid, pop, max(af) AS af, CAST(2 * sum(n) AS BIGINT) AS an FROM fx_sumstats GROUP BY vid, pop),
+ok AS (SELECT DISTINCT vid FROM vc WHERE af * an >= 20),
+coh AS (SELECT user_id FROM fx_sample WHERE in_qc_list AND NOT withdrawn)
+SELECT d.user_id, d.vid, d.dosage FROM fx_dosage d
+WHERE d.vid IN (SELECT vid FROM ok) AND d.user_id IN (SELECT user_id FROM coh) AND d.vid IN (SELECT vid FROM fx_meta)""")
+def filtered_genotypes(spark, sf):
+    """Genotype preparation for scores: allele-count filter, cohort samples, analysed variants only."""
+    from polyscore.plans.cohort import cohort as build_cohort
+    from polyscore.plans.cohort import filtered_genotypes as build
+    from polyscore.queries.q_basic import _af_an_maps
+    fx = Fixtures(spark, sf)
+    coh = build_cohort(fx.sample.select("user_id", "pop"), fx.sample.where("in_qc_list").select("user_id"),
+                       fx.sample.where("withdrawn").select("user_id"))
+    return build(fx.dosage, _af_an_maps(fx), coh, fx.meta).select("user_id", "vid", "dosage")
