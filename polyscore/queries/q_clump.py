@@ -9,7 +9,7 @@ from polyscore.functions import ids
 from polyscore.operators import clump as cl
 from polyscore.plans import ldclump as lc
 from polyscore.plans import subset as sb
-from polyscore.queries.q_basic import VARID_SQL
+from polyscore.queries.q_basic import PHENO_ID_SQL, VARID_SQL
 from polyscore.queries.registry import register
 from polyscore.sources.fixtures import Fixtures
 
@@ -196,9 +196,7 @@ FROM assigned i JOIN cand c ON c.pheno_id = i.pheno_id AND c.vid = i.vid JOIN vv
 LEFT JOIN t ON t.pheno_id = i.pheno_id AND t.vid = i.vid WHERE i.is_index"""
 
 
-_PHENO_ID = ("replace(replace(trait_type || '-' || phenocode || '-' || pheno_sex || "
-             "CASE WHEN length(coding) > 0 THEN '-' || coding ELSE '' END || "
-             "CASE WHEN length(modifier) > 0 THEN '-' || modifier ELSE '' END, ' ', '_'), '/', '_')")
+_PHENO_ID = PHENO_ID_SQL
 
 CAND_SINGLE_EUR = f"""SELECT {_PHENO_ID} AS pheno_id, 'EUR' AS panel, s.vid, s.p AS P, v.chrom, v.pos
   FROM fx_sumstats s JOIN fx_pheno ph ON s.pid = ph.pid JOIN fx_variant v ON s.vid = v.vid
