@@ -30,35 +30,61 @@ def stats_columns(meta: DataFrame, meta_data: DataFrame, sumstats: DataFrame) ->
     return m.unionByName(s)
 
 
-def distinct_columns(cols: DataFrame, key=("pid", "clump_pops_str"), priority: str = "source") -> DataFrame:
+def column_dimension(meta_data: DataFrame, pheno_pop: DataFrame) -> DataFrame:
+    """(pid, clump_pops_str, source) of every score column: meta sets (0) and single populations (1).
+
+    Built from the dimension tables, so it is phenotype-sized, never a
+    DISTINCT over the statistics.
+    """
+    return (meta_data.select("pid", F.col("pops_str").alias("clump_pops_str"), F.lit(0).alias("source"))
+            .unionByName(pheno_pop.select("pid", F.col("pop").alias("clump_pops_str"), F.lit(1).alias("source"))))
+
+
+def distinct_columns(cols: DataFrame, dim: DataFrame | None = None, key=("pid", "clump_pops_str"),
+                     priority: str = "source") -> DataFrame:
     """One column per key: the highest-priority source (meta before single population).
 
-    Applied to the column dimension (distinct (key, source) pairs), which is
-    phenotype-sized, then semi-joined back to the entries.
+    The choice is made on the column dimension (``dim``, phenotype-sized;
+    derived from ``cols`` when not given) and semi-joined back to the entries.
     """
-    dim = cols.select(*key, priority).distinct()
+    if dim is None:
+        dim = cols.select(*key, priority).distinct()
     w = Window.partitionBy(*key).orderBy(priority)
-    keep = dim.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+    keep = dim.select(*key, priority).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
     return cols.join(keep, [*key, priority], "left_semi")
 
 
 def coalesce_from(stats: DataFrame, single: DataFrame, key=("pid", "clump_pops_str", "vid")) -> DataFrame:
-    """Fill missing BETA and Pvalue, each independently, from the single-population statistics."""
-    s = single.select(*key, F.col("BETA").alias("_b"), F.col("Pvalue").alias("_p"))
-    return (stats.join(s, list(key), "left")
-            .withColumn("BETA", F.coalesce("BETA", "_b"))
-            .withColumn("Pvalue", F.coalesce("Pvalue", "_p"))
-            .drop("_b", "_p"))
-
+    """Fill missing BETA and Pvalue, each independently, from the single-population statistics.
 
-def prs_weights(meta: DataFrame, meta_data: DataFrame, sumstats: DataFrame, clump: DataFrame) -> DataFrame:
+    Only rows with a hole are looked up: complete rows pass through, the
+    fill source is first semi-joined to the keys of the rows with holes,
+    so the statistics are never joined with themselves in full.
+    """
+    key = list(key)
+    hole = F.col("BETA").isNull() | F.col("Pvalue").isNull()
+    complete = stats.where(~hole)
+    holes = stats.where(hole)
+    fills = (single.select(*key, F.col("BETA").alias("_b"), F.col("Pvalue").alias("_p"))
+             .join(holes.select(*key), key, "left_semi"))
+    filled = (holes.join(fills, key, "left")
+              .withColumn("BETA", F.coalesce("BETA", "_b"))
+              .withColumn("Pvalue", F.coalesce("Pvalue", "_p"))
+              .drop("_b", "_p"))
+    return complete.unionByName(filled)
+
+
+def prs_weights(meta: DataFrame, meta_data: DataFrame, sumstats: DataFrame, clump: DataFrame,
+                pheno_pop: DataFrame | None = None) -> DataFrame:
     """Weights (pid, clump_pops_str, vid, beta, p) on clump index variants only.
 
     ``clump`` has (pid, vid, clump_pops_str, TOTAL, ...).  A weight exists
     where the clump defines TOTAL; the threshold indicator is applied later.
+    With ``pheno_pop`` the column choice is made on the dimension tables.
     """
     cols = stats_columns(meta, meta_data, sumstats)
-    cols = distinct_columns(cols)
+    dim = column_dimension(meta_data, pheno_pop) if pheno_pop is not None else None
+    cols = distinct_columns(cols, dim)
     single = cols.where("source = 1")
     filled = coalesce_from(cols, single)
     cl = clump.where(F.col("TOTAL").isNotNull()).select("pid", "vid", "clump_pops_str")

@@ -266,7 +266,7 @@ w AS (SELECT c.pid, c.clump_pops_str, c.vid, c.BETA AS beta, c.Pvalue AS p FROM
 @register("prs_weights", _WEIGHTS_SQL + "SELECT * FROM w")
 def prs_weights(spark, sf):
     fx = Fixtures(spark, sf)
-    return prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, fx.clump)
+    return prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, fx.clump, fx.pheno_pop)
 
 
 @register("prs_clumped", _WEIGHTS_SQL + """
@@ -275,7 +275,7 @@ FROM w JOIN fx_dosage d ON w.vid = d.vid JOIN fx_thresholds t ON w.p < t.p_thres
 GROUP BY d.user_id, w.pid, w.clump_pops_str, t.p_threshold_name, t.p_threshold""")
 def prs_clumped(spark, sf):
     fx = Fixtures(spark, sf)
-    return prs.prs_scores(prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, fx.clump), fx.dosage)
+    return prs.prs_scores(prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, fx.clump, fx.pheno_pop), fx.dosage)
 
 
 @register("weight_qc", """
@@ -416,7 +416,7 @@ FROM sc JOIN fx_pheno ph ON sc.pid = ph.pid""")
 def prs_labeled(spark, sf):
     """Scores keyed by user and the five-field phenotype key (the study's final score matrix, long form)."""
     fx = Fixtures(spark, sf)
-    s = prs.prs_scores(prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, fx.clump), fx.dosage)
+    s = prs.prs_scores(prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, fx.clump, fx.pheno_pop), fx.dosage)
     return prs.label_scores(s, fx.pheno).select("user_id", "trait_type", "phenocode", "pheno_sex", "coding",
                                                 "modifier", "clump_pops_str", "p_threshold_name", "p_threshold",
                                                 "score")
