@@ -151,8 +151,8 @@ pr AS (SELECT panel, vid_a, vid_b, chrom, pos_a, pos_b, CAST(num * num AS DOUBLE
 """
 
 
-def clump_job_sql(cand_sql: str) -> str:
-    """Oracle: sequential greedy clump (recursive CTE) of candidates (pheno_id, panel, vid, P, chrom, pos) + tallies."""
+def clump_chain_sql(cand_sql: str) -> str:
+    """Oracle CTE chain: sequential greedy clump (recursive CTE) of candidates (pheno_id, panel, vid, P, chrom, pos)."""
     return panels_ld_cte("SELECT DISTINCT panel FROM cand0") .replace(
         "WITH RECURSIVE panel_sets", f"WITH RECURSIVE cand0 AS ({cand_sql}),\npanel_sets") + f"""
 cand AS (SELECT * FROM cand0 WHERE P <= 1),
@@ -178,7 +178,12 @@ mem AS (SELECT e.pheno_id, e.v AS vid, arg_min(e.u, ou.k) AS index_vid FROM edge
   JOIN index_set i ON i.pheno_id = e.pheno_id AND i.vid = e.u JOIN ordered ou ON ou.pheno_id = e.pheno_id AND ou.vid = e.u
   WHERE NOT EXISTS (SELECT 1 FROM index_set j WHERE j.pheno_id = e.pheno_id AND j.vid = e.v) GROUP BY e.pheno_id, e.v),
 assigned AS (SELECT pheno_id, vid, vid AS index_vid, true AS is_index FROM index_set
-  UNION ALL SELECT pheno_id, vid, index_vid, false AS is_index FROM mem),
+  UNION ALL SELECT pheno_id, vid, index_vid, false AS is_index FROM mem)"""
+
+
+def clump_job_sql(cand_sql: str) -> str:
+    """Oracle: clump chain + PLINK-style tallies of every index variant."""
+    return clump_chain_sql(cand_sql) + f""",
 vv AS (SELECT vid, {VARID_SQL} AS varid FROM fx_variant),
 t AS (SELECT a.pheno_id, a.index_vid AS vid, CAST(count(*) AS INTEGER) AS TOTAL,
   CAST(count(*) FILTER (WHERE c.P > 0.05) AS INTEGER) AS NSIG,
