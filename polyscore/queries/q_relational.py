@@ -437,3 +437,22 @@ def filtered_genotypes(spark, sf):
     coh = build_cohort(fx.sample.select("user_id", "pop"), fx.sample.where("in_qc_list").select("user_id"),
                        fx.sample.where("withdrawn").select("user_id"))
     return build(fx.dosage, _af_an_maps(fx), coh, fx.meta).select("user_id", "vid", "dosage")
+
+
+@register("varid_listing", f"""
+WITH vc AS (SELECT vid, pop, max(af) AS af, CAST(2 * sum(n) AS BIGINT) AS an FROM fx_sumstats GROUP BY vid, pop)
+SELECT v.chrom, v.pos, {VARID_SQL.replace('chrom', 'v.chrom').replace('CAST(pos', 'CAST(v.pos').replace('ref', 'v.ref').replace('alt', 'v.alt')} AS varid
+FROM fx_variant v WHERE v.vid IN (SELECT vid FROM vc WHERE af * an >= 20)""")
+def varid_listing(spark, sf):
+    """Variant ids of the genotype data passing the allele-count filter, written space-delimited and read back."""
+    from polyscore.functions.ids import variant_id
+    from polyscore.operators.filters import min_allele_count
+    from polyscore.operators.sinks import write_delimited
+    from polyscore.queries.q_basic import _af_an_maps
+    from polyscore.session import scratch_path
+    fx = Fixtures(spark, sf)
+    ok = _af_an_maps(fx).where(min_allele_count("af_map", "an_map")).select("vid")
+    rows = fx.variant.join(ok, "vid", "left_semi").select("chrom", "pos", variant_id().alias("varid"))
+    path = scratch_path(spark, "varid")
+    write_delimited(rows, path, sep=" ")
+    return spark.read.schema("chrom string, pos int, varid string").option("sep", " ").option("header", True).csv(path)
