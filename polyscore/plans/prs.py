@@ -100,3 +100,15 @@ def prs_scores(weights: DataFrame, dosage: DataFrame) -> DataFrame:
 def label_scores(scores: DataFrame, pheno: DataFrame) -> DataFrame:
     """Attach the five-field phenotype key (dimension join, phenotype-sized)."""
     return scores.join(pheno.select("pid", "trait_type", "phenocode", "pheno_sex", "coding", "modifier"), "pid")
+
+
+def coalesce_qc(stats: DataFrame, key=("pid", "clump_pops_str")) -> DataFrame:
+    """Per score column: rows whose BETA / Pvalue need filling, and rows where only one of the two does.
+
+    BETA and Pvalue are filled independently, so a filled row can mix two
+    sources; this count makes that visible.
+    """
+    b, p = F.col("BETA").isNull(), F.col("Pvalue").isNull()
+    return stats.groupBy(*key).agg(
+        F.count(F.when(b, 1)).alias("n_beta_filled"), F.count(F.when(p, 1)).alias("n_pvalue_filled"),
+        F.count(F.when(b != p, 1)).alias("n_mixed_source"))

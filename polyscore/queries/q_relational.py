@@ -456,3 +456,19 @@ def varid_listing(spark, sf):
     path = scratch_path(spark, "varid")
     write_delimited(rows, path, sep=" ")
     return spark.read.schema("chrom string, pos int, varid string").option("sep", " ").option("header", True).csv(path)
+
+
+@register("coalesce_qc", """
+WITH a AS (SELECT pid, pop, CASE WHEN low_confidence THEN NULL ELSE beta END AS BETA,
+   CASE WHEN (pid + vid) % 7 = 0 THEN NULL ELSE p END AS Pvalue FROM fx_sumstats)
+SELECT pid, pop AS clump_pops_str, count(*) FILTER (WHERE BETA IS NULL) AS n_beta_filled,
+  count(*) FILTER (WHERE Pvalue IS NULL) AS n_pvalue_filled,
+  count(*) FILTER (WHERE (BETA IS NULL) <> (Pvalue IS NULL)) AS n_mixed_source
+FROM a GROUP BY pid, pop""")
+def coalesce_qc(spark, sf):
+    """Counts behind the independent BETA / Pvalue fill (same holes as ``coalesce_stats``)."""
+    fx = Fixtures(spark, sf)
+    holes = fx.sumstats.select("pid", F.col("pop").alias("clump_pops_str"),
+                               F.when(F.col("low_confidence"), None).otherwise(F.col("beta")).alias("BETA"),
+                               F.when((F.col("pid") + F.col("vid")) % 7 == 0, None).otherwise(F.col("p")).alias("Pvalue"))
+    return prs.coalesce_qc(holes)
