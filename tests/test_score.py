@@ -47,3 +47,16 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert [f.name for f in df.schema.fields] == ["user_id", "pid", "p_threshold_name", "p_threshold", "score"]
     assert df.where(F.col("score").isNull()).count() == 0
+
+
+def test_blocked_kernels_match_join_route(spark, sf_small):
+    """Both local kernels of the blocked product (dense matmul, sparse join) equal the join route."""
+    import polyscore.operators.blocked as bl
+    from polyscore.operators.reshape import add_dim_index
+    from polyscore.sources.fixtures import Fixtures
+    fx = Fixtures(spark, sf_small)
+    vix = add_dim_index(fx.variant.select("vid", "chrom", "pos"), ["chrom", "pos", "vid"], "vidx").select("vid", "vidx")
+    want = _rows(sc.threshold_scores(fx.min_stat, fx.dosage, ["pid"]))
+    for cells in (0, 10**9):
+        got = _rows(bl.blocked_threshold_scores(fx.min_stat, fx.dosage, vix, variant_block=64, dense_cells=cells))
+        assert len(want) > 1000 and got == want
