@@ -258,3 +258,18 @@ def genotype_subset_files(spark, sf):
     back = read_by_chrom(spark, path)
     return back.groupBy("pops", "chrom").agg(F.count(F.lit(1)).alias("n_entries"),
                                              F.countDistinct("user_id").alias("n_samples"))
+
+
+CAND_NOT_EUR = f"""SELECT {_PHENO_ID} AS pheno_id, 'AFR,AMR,CSA,EAS,MID' AS panel, m.vid, m.p AS P, v.chrom, v.pos
+  FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
+  WHERE n.num_pops = 6 AND m.meta_ix = 5 AND m.p IS NOT NULL
+  UNION ALL
+  SELECT {_PHENO_ID} AS pheno_id, 'AFR,AMR,CSA,EAS,MID' AS panel, m.vid, m.p AS P, v.chrom, v.pos
+  FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid JOIN fx_pheno ph ON m.pid = ph.pid JOIN fx_variant v ON m.vid = v.vid
+  WHERE n.num_pops = 5 AND m.pid NOT IN (SELECT pid FROM fx_pheno_pop WHERE pop = 'EUR')
+    AND m.meta_ix = 0 AND m.p IS NOT NULL AND coalesce(v.high_quality, true)"""
+
+
+@register("clump_job_not_pop", clump_job_sql(CAND_NOT_EUR))
+def clump_job_not_pop(spark, sf):
+    return _clump_job(spark, sf, "not_pop", "EUR")
