@@ -45,3 +45,24 @@ def test_gene_containment_half_open_and_empty(spark):
 def test_array_index_out_of_range_is_null(spark):
     df = spark.createDataFrame([([1.0, 2.0],)], "a array<double>")
     assert df.select(F.get("a", 5)).first()[0] is None
+
+
+def test_meta_sets_indices(spark):
+    from polyscore.constants import POPS
+    from polyscore.operators.meta import meta_sets
+    pp = spark.createDataFrame([(1, p) for p in POPS] + [(2, "EUR"), (2, "AFR"), (3, "CSA")], "pid long, pop string")
+    got = {(r.pid, r.meta_ix): r.pops_str for r in meta_sets(pp).collect()}
+    assert got[(1, 0)] == ",".join(POPS)
+    assert got[(1, 5)] == "AFR,AMR,CSA,EAS,MID"  # index k leaves out POPS[k-1]
+    assert got[(2, 0)] == "AFR,EUR" and (2, 1) not in got  # leave-one-out sets only for 6 populations
+    assert not any(k[0] == 3 for k in got)  # one population: no meta-analysis
+
+
+def test_densify_thresholds_zero_fill(spark):
+    from polyscore.operators.reshape import densify_thresholds
+    w = spark.createDataFrame([(1, 1, 2.0, 0.01), (1, 2, float("nan"), 1e-9), (1, 3, None, 1e-9)],
+                              "pid long, vid long, beta double, p double")
+    rows = {(r.vid, r.p_threshold_name): r.weight for r in densify_thresholds(w).collect()}
+    assert len(rows) == 30
+    assert rows[(1, "s5")] == 0.0 and rows[(1, "s6")] == 2.0  # strict P < t
+    assert rows[(2, "s1")] == 0.0 and rows[(3, "s10")] == 0.0  # NaN / missing beta -> 0
