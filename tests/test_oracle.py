@@ -14,7 +14,8 @@ import __spark_entry__ as ent
 SUBSET = ["matrix_scan", "final_sumstats", "wide_export_binary", "loo_pvalues", "pheno_manifest", "ma_format",
           "prs_weights", "prs_clumped", "multiway_zip", "gene_overlap", "fix_alleles", "rank_by_p", "sample_subset",
           "ld_clump", "clump_tallies", "score_corr", "case_control_ttest", "clump_text_scan", "format_stat",
-          "resume_missing_parts", "separate_by_pop", "axis_index"]
+          "resume_missing_parts", "separate_by_pop", "axis_index", "clump_job_single", "clump_job_not_pop",
+          "coalesce_qc", "filtered_genotypes", "varid_listing", "prs_bucketed", "prs_labeled", "wide_export_files"]
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
