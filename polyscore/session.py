@@ -30,6 +30,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    event_log = os.environ.get("POLYSCORE_EVENT_LOG")
+    if event_log:  # stage/task timings for profiling, written to a scratch folder (no UI)
+        os.makedirs(local_path(event_log), exist_ok=True)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_log})
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
