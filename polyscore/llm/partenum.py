@@ -17,10 +17,13 @@ whose partners may be in the next band signs for both. Sets with too few
 non-empty groups (a handful of shingles) sign by their first k + 1 shingles too.
 
 Equal sets are one class. Classes that share a signature are held against the
-smallest class of the group first, which joins true groups of copies with one
-comparison per member; only classes of the same signature that are still in
-different components are held against each other after that. Every link is
-verified on the whole texts.
+most central class of the group first, the one with most shared signatures, which
+joins true groups of copies with one comparison per member. Where a signature's
+classes are still in different components after that, those outside the group's
+largest component are queries: they are held against that component and
+against each other in tiles of bounded size, a block of queries against a block of
+classes, so no pair of a group becomes a row. Every link is verified on the
+whole texts.
 
 A document with fewer words than a shingle is one shingle of all its words. A
 null or empty text has no set and links with nothing; its component is its own
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyscore.llm.common import buffers, map_arrow, mix, ngrams, row_of, slices, space_lut, stage, texts_of, words
+from polyscore.llm.common import buffers, map_arrow, mix, ngrams, row_of, rows_per_task, slices, space_lut, stage, texts_of, words
 from polyscore.llm.components import components
 
 SHINGLE = 5
@@ -46,6 +49,8 @@ PERCENT = 80
 PARTS = 3
 #: Documents of the sample that shows frequent shingles, and in how many of them a shingle is one.
 SAMPLE, FREQUENT = 8192, 3
+#: Queries and classes of a tile.
+QUERIES, HELD = 256, 2048
 _LUT = space_lut(True)
 
 
@@ -249,6 +254,76 @@ def _class_texts(docs: DataFrame, sets: DataFrame, wanted: DataFrame) -> DataFra
     return map_arrow(rows, own, "cls long, text binary").dropDuplicates(["cls"])
 
 
+def _tiles(shared: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between classes of a signature that are in different components."""
+    classes = (shared.select("cls").distinct().join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+               .select("cls", F.coalesce("root", "cls").alias("root")))
+    classes = stage(classes, "rooted")
+    lead = Window.partitionBy("sig")
+    open_groups = (shared.select("sig", "cls").join(classes, "cls")
+                   .withColumn("r0", F.min("root").over(lead)).withColumn("r1", F.max("root").over(lead))
+                   .where("r0 <> r1").select("sig", "cls", "root"))
+    open_groups = stage(open_groups, "open")
+    by_root = open_groups.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("c"))
+    largest = by_root.groupBy("sig").agg(F.max(F.struct("c", "root")).alias("top")).select("sig", F.col("top.root").alias("main"))
+    queries = stage(open_groups.join(largest, "sig").where("root <> main").select("main", F.col("cls").alias("cls")).distinct(),
+                    "queries")
+    held = queries.unionByName(classes.select(F.col("root").alias("main"), "cls")
+                               .join(queries.select("main").distinct(), "main", "left_semi"))
+    sizes = (queries.groupBy("main").agg(F.count(F.lit(1)).alias("q"))
+             .join(held.groupBy("main").agg(F.count(F.lit(1)).alias("h")), "main")
+             .select("main", F.ceil(F.col("q") / QUERIES).cast("int").alias("qs"), F.ceil(F.col("h") / HELD).cast("int").alias("hs")))
+    part = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
+    asked = (queries.join(sizes, "main").select("main", "cls", F.lit(0).alias("side"), part("qs").alias("qb"),
+                                                F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("hb")))
+    given = (held.join(sizes, "main").select("main", "cls", F.lit(1).alias("side"),
+                                             F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"), part("hs").alias("hb")))
+    rows = (asked.unionByName(given).join(texts, "cls").select("main", "qb", "hb", "side", "cls", "text")
+            .repartition(rows_per_task(shared), "main", "qb", "hb").sortWithinPartitions("main", "qb", "hb", "side"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, ids, sets, index = None, [], [], None
+        for batch in batches:
+            for piece in slices(batch):
+                a, b = [], []
+                keys = list(zip(*(piece.column(c).to_pylist() for c in (0, 1, 2))))
+                sides, names = piece.column(3).to_pylist(), piece.column(4).to_pylist()
+                for key, side, c, s in zip(keys, sides, names, shingle_sets(piece.column(5))):
+                    if key != tile:
+                        tile, ids, sets, index = key, [], [], None
+                    if side == 0:
+                        ids.append(c)
+                        sets.append(s)
+                        continue
+                    if index is None:
+                        size = np.array([len(x) for x in sets])
+                        index = _Index(np.array(ids, np.int64), size, np.concatenate(sets), np.repeat(np.arange(len(sets)), size))
+                    for d in index.linked(s, percent):
+                        if d != c:
+                            a.append(min(c, d))
+                            b.append(max(c, d))
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return map_arrow(rows, run, "a long, b long").distinct()
+
+
+class _Index:
+    """The sets of a block of queries, by element."""
+
+    def __init__(self, ids: np.ndarray, size: np.ndarray, elements: np.ndarray, owner: np.ndarray):
+        order = np.argsort(elements, kind="stable")
+        self.ids, self.size, self.elements, self.owner = ids, size, elements[order], owner[order]
+
+    def linked(self, s: np.ndarray, percent: int) -> list[int]:
+        lo = np.searchsorted(self.elements, s, "left")
+        many = np.searchsorted(self.elements, s, "right") - lo
+        at = np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+        same = np.bincount(self.owner[at], minlength=len(self.ids))
+        hit = (same > 0) & (100 * same >= percent * (self.size + len(s) - same))
+        return self.ids[hit].tolist()
+
+
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, sample: int = SAMPLE,
                        frequent: int = FREQUENT, text_hash: bool = False) -> DataFrame:
     """Per row: doc_id, n_shingles, cls and component_id (and a hash of the text)."""
@@ -257,29 +332,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, sample: int = SA
     group = Window.partitionBy("sig")
     shared = stage(_signature_rows(docs, common, percent)
                    .withColumn("least", F.min("cls").over(group)).withColumn("most", F.max("cls").over(group))
-                   .where("least <> most").select("sig", "cls", "n", "least"), "signatures")
-    fits = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
-    sizes = sets.where("cls is not null").groupBy("cls").agg(F.first("n_shingles").alias("n"))
-    star = (shared.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b"), "n").distinct()
-            .join(sizes.select(F.col("cls").alias("a"), F.col("n").alias("m")), "a").where(fits).select("a", "b"))
+                   .where("least <> most").select("sig", "cls", "n"), "signatures")
+    weight = shared.groupBy("cls").agg(F.count(F.lit(1)).alias("weight"))
+    star = (shared.join(weight, "cls").withColumn("top", F.max(F.struct("weight", "cls", "n")).over(group))
+            .where("cls <> top.cls").where(f"100 * least(n, top.n) >= {percent} * greatest(n, top.n)")
+            .select(F.col("top.cls").alias("a"), F.col("cls").alias("b")).distinct())
     star = stage(star, "pairs")
-    wanted = shared.select("cls").distinct()
-    texts = stage(_class_texts(docs, sets, wanted), "class-texts")
+    texts = stage(_class_texts(docs, sets, shared.select("cls").distinct()), "class-texts")
     links = stage(_verified(star, texts, percent), "linked")
-    roots = components(links)
-    named = (shared.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-             .select("sig", "cls", "n", F.coalesce("root", "cls").alias("root")))
-    lead = Window.partitionBy("sig")
-    open_groups = stage(named.withColumn("r0", F.min("root").over(lead)).withColumn("r1", F.max("root").over(lead))
-                        .where("r0 <> r1").select("sig", "cls", "n", "root"), "open")
-    by_root = open_groups.groupBy("sig", "root").agg(F.countDistinct("cls").alias("c"))
-    largest = by_root.groupBy("sig").agg(F.max(F.struct("c", "root")).alias("top")).select("sig", F.col("top.root").alias("main"))
-    few = (open_groups.join(largest, "sig").where("root <> main")
-           .select("sig", F.col("cls").alias("x"), F.col("n").alias("m"), F.col("root").alias("x_root"), "main"))
-    cross = (few.join(open_groups, "sig").where("root <> x_root and (root = main or cls < x)").where(fits)
-             .select(F.least("x", "cls").alias("a"), F.greatest("x", "cls").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
-    more = _verified(stage(cross, "pairs"), texts, percent)
+    more = stage(_tiles(shared, components(links), texts, percent), "linked")
     roots = components(links.unionByName(more), "links")
     least = sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least_id"))
     by_class = (least.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
