@@ -44,14 +44,9 @@ def top_n_per_group(df: DataFrame, group: Sequence[str], order: Sequence, n_col_
     """Rows ranked < n within their group.
 
     ``row_number() <= n`` lets Spark insert a partial group limit before the
-    shuffle, so a hot group ships at most n rows per map task.
+    shuffle (for n up to ``spark.sql.optimizer.windowGroupLimitThreshold``, which the
+    session defaults raise), so a hot group ships at most n rows per map task.
     """
-    if isinstance(n_col_or_int, int):
-        # Spark inserts the partial group limit only for limits up to this threshold
-        key = "spark.sql.optimizer.windowGroupLimitThreshold"
-        conf = df.sparkSession.conf
-        if int(conf.get(key, "1000")) < n_col_or_int:
-            conf.set(key, str(n_col_or_int))
     w = Window.partitionBy(*group).orderBy(*order)
     n = F.lit(n_col_or_int) if isinstance(n_col_or_int, int) else F.col(n_col_or_int)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n).drop(name)

@@ -84,9 +84,8 @@ def prs_weights(meta: DataFrame, meta_data: DataFrame, sumstats: DataFrame, clum
     """
     cols = stats_columns(meta, meta_data, sumstats)
     dim = column_dimension(meta_data, pheno_pop) if pheno_pop is not None else None
-    cols = distinct_columns(cols, dim)
-    single = cols.where("source = 1")
-    filled = coalesce_from(cols, single)
+    single = cols.where("source = 1")  # complete: the column choice drops the single-population twins of meta columns
+    filled = coalesce_from(distinct_columns(cols, dim), single)
     cl = clump.where(F.col("TOTAL").isNotNull()).select("pid", "vid", "clump_pops_str")
     return (filled.join(cl, ["pid", "vid", "clump_pops_str"])
             .select("pid", "clump_pops_str", "vid", F.col("BETA").alias("beta"), F.col("Pvalue").alias("p")))

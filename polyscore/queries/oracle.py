@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from polyscore.constants import POPS, TRAIT_TYPES
-from polyscore.sources.fixtures import N_PHENOTYPE_PHENOS, case_index, p_denominator
+from polyscore.sources.fixtures import case_index, p_denominator
 
 _POPS_VALUES = ", ".join(f"({i}, '{p}')" for i, p in enumerate(POPS))
 _THRESH_VALUES = None  # filled lazily below
@@ -97,7 +97,7 @@ FX_SQL: dict[str, str] = {
         "SELECT s.user_id, p.pid, p.trait_type, p.phenocode, p.pheno_sex, p.coding, p.modifier, "
         "CASE WHEN (s.user_id + p.pid) % 11 = 0 THEN NULL "
         "WHEN (s.user_id * 31 + p.pid * 17) % 5 = 0 THEN 1 ELSE 0 END AS both_sexes "
-        f"FROM fx_sample s JOIN fx_pheno p ON p.pid < {N_PHENOTYPE_PHENOS}"),
+        "FROM fx_sample s CROSS JOIN fx_pheno p"),
 }
 FX_SQL["fx_thresholds"] = f"SELECT * FROM (VALUES {_thresholds_values()}) AS t(t_ix, p_threshold_name, p_threshold)"
 

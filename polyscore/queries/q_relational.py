@@ -257,9 +257,10 @@ WITH cols AS (
   UNION ALL SELECT pid, pop, vid, beta, p, 1 FROM fx_sumstats),
 keep AS (SELECT pid, clump_pops_str, min(source) AS source FROM (SELECT DISTINCT pid, clump_pops_str, source FROM cols)
   GROUP BY pid, clump_pops_str),
-w AS (SELECT c.pid, c.clump_pops_str, c.vid, c.BETA AS beta, c.Pvalue AS p FROM cols c
+w AS (SELECT c.pid, c.clump_pops_str, c.vid, coalesce(c.BETA, s.beta) AS beta, coalesce(c.Pvalue, s.p) AS p FROM cols c
   JOIN keep k ON c.pid = k.pid AND c.clump_pops_str = k.clump_pops_str AND c.source = k.source
-  JOIN fx_clump cl ON cl.pid = c.pid AND cl.vid = c.vid AND cl.clump_pops_str = c.clump_pops_str)
+  JOIN fx_clump cl ON cl.pid = c.pid AND cl.vid = c.vid AND cl.clump_pops_str = c.clump_pops_str
+  LEFT JOIN fx_sumstats s ON s.pid = c.pid AND s.vid = c.vid AND s.pop = c.clump_pops_str)
 """
 
 

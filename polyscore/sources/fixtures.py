@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from polyscore.constants import POPS, TRAIT_TYPES
 from polyscore.sources.tables import read_table
 
-N_PHENOTYPE_PHENOS = 20
 # Input datasets of the study (stored tables in a real deployment): derived once per
 # session and read back as parquet, unless POLYSCORE_STAGE_INPUTS=0.
 STAGED_INPUTS = ["variant", "sample", "dosage", "stat", "pheno", "pheno_pop", "gene", "phenotype", "meta",
@@ -218,8 +217,9 @@ class Fixtures:
 
     @cached_property
     def phenotype(self) -> DataFrame:
-        """Phenotype values of every sample for the first 20 phenotypes."""
-        s = (self.sample.select("user_id", F.explode(F.sequence(F.lit(0), F.lit(N_PHENOTYPE_PHENOS - 1))).alias("k"))
+        """Phenotype values of every sample for every phenotype."""
+        last = self.pheno.agg(F.max("pid")).first()[0]
+        s = (self.sample.select("user_id", F.explode(F.sequence(F.lit(0), F.lit(int(last or 0)))).alias("k"))
              .select("user_id", F.col("k").cast("bigint").alias("pid")))
         return (s.join(self.pheno, "pid")
                 .selectExpr("user_id", "pid", "trait_type", "phenocode", "pheno_sex", "coding", "modifier",

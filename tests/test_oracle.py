@@ -16,7 +16,8 @@ SUBSET = ["matrix_scan", "final_sumstats", "wide_export_binary", "loo_pvalues",
           "ld_clump", "clump_tallies", "score_corr", "case_control_ttest", "clump_text_scan", "format_stat",
           "resume_missing_parts", "separate_by_pop", "axis_index", "clump_job_single", "clump_job_not_pop",
           "coalesce_qc", "filtered_genotypes", "varid_listing", "prs_bucketed", "prs_labeled", "wide_export_files"]
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations"]
 
 
 def _norm(v):
