@@ -86,7 +86,7 @@ FX_SQL: dict[str, str] = {
         "m.p AS P, CAST(m.vid % 5 AS INTEGER) AS NSIG, CAST((m.vid + m.pid) % 4 AS INTEGER) AS S05, "
         "CAST(m.pid % 3 AS INTEGER) AS S01, CAST(m.vid % 2 AS INTEGER) AS S001, "
         "CAST((m.vid * m.pid) % 3 AS INTEGER) AS S0001 "
-        "FROM fx_min m JOIN fx_own_pops o ON m.pid = o.pid WHERE m.p < 1e-3 AND m.vid % 50 <> 0) c"),
+        "FROM fx_min m JOIN fx_own_pops o ON m.pid = o.pid) c"),
     "fx_h2": "SELECT phenocode AS phenotype, ((pid * 7) % 50) / 1e1 AS h2_z FROM fx_pheno",
     "fx_gene": (
         "SELECT CAST(1 + n_nationkey % 22 AS VARCHAR) AS chrom, "

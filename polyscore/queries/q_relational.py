@@ -156,12 +156,12 @@ def union_cols_inner(spark, sf):
 
 @register("union_cols_outer", """
 SELECT m.pid, m.vid, d.pops_str AS clump_pops_str, m.p FROM fx_meta m
-JOIN fx_meta_data d ON m.pid = d.pid AND m.meta_ix = d.meta_ix WHERE m.meta_ix IN (0, 1, 5)""")
+JOIN fx_meta_data d ON m.pid = d.pid AND m.meta_ix = d.meta_ix""")
 def union_cols_outer(spark, sf):
     fx = Fixtures(spark, sf)
     parts = [fx.meta.where(F.col("meta_ix") == k).join(fx.meta_data.select("pid", "meta_ix", "pops_str"),
                                                       ["pid", "meta_ix"])
-             .select("pid", "vid", F.col("pops_str").alias("clump_pops_str"), "p") for k in (0, 1, 5)]
+             .select("pid", "vid", F.col("pops_str").alias("clump_pops_str"), "p") for k in range(7)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -394,15 +394,14 @@ def densify(spark, sf):
 
 @register("full_clump", """
 WITH u AS (SELECT pid, vid, clump_pops_str, TOTAL FROM fx_clump
-  UNION ALL SELECT pid, vid, pop AS clump_pops_str, CAST(vid % 5 AS INTEGER) AS TOTAL FROM fx_sumstats
-  WHERE p < 1e-3 AND vid % 50 <> 0)
+  UNION ALL SELECT pid, vid, pop AS clump_pops_str, CAST(vid % 5 AS INTEGER) AS TOTAL FROM fx_sumstats)
 SELECT pid, vid, string_agg(clump_pops_str, ';' ORDER BY clump_pops_str) AS clump_pops, CAST(count(*) AS INTEGER) AS n_sets,
   CAST(sum(TOTAL) AS BIGINT) AS sum_total
 FROM u GROUP BY pid, vid""")
 def full_clump(spark, sf):
     from polyscore.plans.clumping import full_clump as build
     fx = Fixtures(spark, sf)
-    single = (fx.sumstats.where("p < 1e-3 AND vid % 50 <> 0")
+    single = (fx.sumstats
               .select("pid", "vid", F.col("pop").alias("clump_pops_str"), F.expr("CAST(vid % 5 AS INT)").alias("TOTAL")))
     own = fx.clump.select("pid", "vid", "clump_pops_str", "TOTAL")
     return build([own, single])

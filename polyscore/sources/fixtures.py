@@ -193,8 +193,7 @@ class Fixtures:
     @cached_property
     def clump(self) -> DataFrame:
         """Clump results on each phenotype's own population set: index variants with their tallies."""
-        m = self.min_stat.where("p < 1e-3 AND vid % 50 <> 0")
-        return (m.join(self.own_pops, "pid")
+        return (self.min_stat.join(self.own_pops, "pid")
                 .selectExpr("pid", "vid", "own_pops_str AS clump_pops_str", "p AS P",
                             "CAST(vid % 5 AS INT) AS NSIG", "CAST((vid + pid) % 4 AS INT) AS S05",
                             "CAST(pid % 3 AS INT) AS S01", "CAST(vid % 2 AS INT) AS S001",
