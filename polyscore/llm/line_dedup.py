@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polyscore.llm.common import map_arrow, mix, slices, stage
+from polyscore.llm.common import map_arrow, mix, rows_per_task, slices, stage
 
 MIN_WORDS = 50
 _SPACE = b" \t\n\r\x0b\x0c"
@@ -151,10 +151,13 @@ def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     inside = later.where("own is not null").select("no_id", "id", "th", "first", "last")
     # the text itself is dropped: only its line hashes are needed to extend a match
     lines = stage(_line_hashes(texts), "line-hashes").dropDuplicates(["no_id", "id", "th"])
-    other = lines.select(F.col("no_id").alias("o_no_id"), F.col("id").alias("o_id"), F.col("th").alias("o_th"),
-                         F.col("lines").alias("o_lines"))
-    both = (later.where("own is null").select("no_id", "id", "th", "o_no_id", "o_id", "o_th", "shift", "seeds")
-            .join(lines, ["no_id", "id", "th"]).join(other, ["o_no_id", "o_id", "o_th"])
+    # a hot passage's first text serves many later ones: it goes to as many parts as ask for it
+    mine, theirs = ["no_id", "id", "th"], ["o_no_id", "o_id", "o_th"]
+    asks = later.where("own is null").select(*mine, *theirs, "shift", "seeds", F.pmod(
+        F.xxhash64(*mine), F.lit(rows_per_task(docs))).alias("part"))
+    other = (asks.select(*theirs, "part").distinct()
+             .join(lines.select(*[F.col(c).alias(o) for c, o in zip(mine, theirs)], F.col("lines").alias("o_lines")), theirs))
+    both = (asks.join(lines, mine).join(other, [*theirs, "part"])
             .select("no_id", "id", "th", "shift", "seeds", "lines", "o_lines"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
