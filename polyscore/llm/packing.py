@@ -141,7 +141,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = by_part.select("length", "salt", (
         F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).alias("before"))
     ranked = (salted.withColumn("rank", F.row_number().over(
-        Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start")) - 1)
+        Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1)
         .join(before, ["length", "salt"])
         .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank")))
 
