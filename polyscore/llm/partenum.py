@@ -268,16 +268,23 @@ def _tiles(shared: DataFrame, roots: DataFrame, texts: DataFrame, percent: int)
     largest = by_root.groupBy("sig").agg(F.max(F.struct("c", "root")).alias("top")).select("sig", F.col("top.root").alias("main"))
     queries = stage(open_groups.join(largest, "sig").where("root <> main").select("main", F.col("cls").alias("cls")).distinct(),
                     "queries")
-    held = queries.unionByName(classes.select(F.col("root").alias("main"), "cls")
-                               .join(queries.select("main").distinct(), "main", "left_semi"))
+    # a component may hold a third of all classes: its rows meet what is said of it slot by slot
+    slot = F.pmod(F.xxhash64("cls", F.lit("slot")), F.lit(rows_per_task(shared))).alias("slot")
+    queries = queries.select("main", "cls", slot)
+    members = classes.select(F.col("root").alias("main"), "cls", slot)
+    wanted = members.select("main", "slot").distinct().join(queries.select("main").distinct(), "main", "left_semi")
+    held = stage(queries.unionByName(members.join(wanted, ["main", "slot"], "left_semi")), "held")
     sizes = (queries.groupBy("main").agg(F.count(F.lit(1)).alias("q"))
              .join(held.groupBy("main").agg(F.count(F.lit(1)).alias("h")), "main")
              .select("main", F.ceil(F.col("q") / QUERIES).cast("int").alias("qs"), F.ceil(F.col("h") / HELD).cast("int").alias("hs")))
+    sizes = held.select("main", "slot").distinct().join(sizes, "main")
     part = lambda n: F.pmod(F.xxhash64("cls"), F.col(n)).cast("int")
-    asked = (queries.join(sizes, "main").select("main", "cls", F.lit(0).alias("side"), part("qs").alias("qb"),
-                                                F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("hb")))
-    given = (held.join(sizes, "main").select("main", "cls", F.lit(1).alias("side"),
-                                             F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"), part("hs").alias("hb")))
+    asked = (queries.join(sizes, ["main", "slot"])
+             .select("main", "cls", F.lit(0).alias("side"), part("qs").alias("qb"),
+                     F.explode(F.sequence(F.lit(0), F.col("hs") - 1)).alias("hb")))
+    given = (held.join(sizes, ["main", "slot"])
+             .select("main", "cls", F.lit(1).alias("side"),
+                     F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"), part("hs").alias("hb")))
     rows = (asked.unionByName(given).join(texts, "cls").select("main", "qb", "hb", "side", "cls", "text")
             .repartition(rows_per_task(shared), "main", "qb", "hb").sortWithinPartitions("main", "qb", "hb", "side"))
 
