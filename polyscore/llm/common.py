@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 from polyscore.session import scratch_path, ship_package
 
 CHUNK = 1 << 20
-_CLEANUP = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled",
-            "spark.sql.shuffleDependency.fileCleanup.enabled")
+#: Settings while a table is staged: shuffle files go with their job, and Arrow batches are
+#: bounded in rows and bytes, so that a worker's memory doesn't follow the length of texts.
+_STAGING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.shuffleDependency.fileCleanup.enabled": "true",
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+            "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +38,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     before = {}
-    for key in _CLEANUP:
+    for key, value in _STAGING.items():
         try:
             before[key] = spark.conf.get(key, None)
-            spark.conf.set(key, "true")
+            spark.conf.set(key, value)
         except Exception:  # the setting has another name in other Spark versions
             before.pop(key, None)
     try:
@@ -71,7 +75,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch of about ``most`` text bytes (one row at least)."""
     _, off = buffers(batch.column(batch.schema.get_field_index("text")))
     at = 0

@@ -51,6 +51,8 @@ PARTS = 3
 SAMPLE, FREQUENT = 8192, 3
 #: Queries and classes of a tile.
 QUERIES, HELD = 256, 2048
+#: Shingles of the sets that a task keeps while it verifies pairs.
+RECENT = 1 << 21
 _LUT = space_lut(True)
 
 
@@ -212,20 +214,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[int, np.ndarray] = {}
+        held = 0
         for batch in batches:
             for part in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
                 ids = [part.column(i).to_pylist() for i in (0, 1)]
+                if held > RECENT:
+                    recent, held = {}, 0
                 for side in (0, 1):
                     new = {c: i for i, c in enumerate(ids[side]) if c not in recent}
-                    if len(recent) + len(new) > 4096:
-                        recent = {}
-                        new = {c: i for i, c in enumerate(ids[side])}
-                        for other, at in {c: i for i, c in enumerate(ids[0])}.items() if side else ():
-                            recent[other] = shingle_sets(part.column(2).slice(at, 1))[0]
                     if new:
-                        at = list(new.values())
-                        for c, s in zip(new, shingle_sets(part.column(2 + side).take(pa.array(at)))):
+                        for c, s in zip(new, shingle_sets(part.column(2 + side).take(pa.array(list(new.values()))))):
                             recent[c] = s
+                            held += len(s)
                 keep = [linked(recent[a], recent[b], percent) for a, b in zip(*ids)]
                 yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
