@@ -19,7 +19,7 @@ import pyarrow as pa
 from polyscore.llm.common import buffers, mix, row_of, words
 
 #: Word forms that a worker remembers before it starts afresh (a memory bound only).
-REMEMBERED = 3_000_000
+REMEMBERED = 1_000_000
 _JOINED = 512
 #: White space other than single blanks and line feeds between words.
 _ODD = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
