@@ -12,7 +12,6 @@ from polyscore.constants import POPS, TRAIT_TYPES
 from polyscore.sources.fixtures import case_index, p_denominator
 
 _POPS_VALUES = ", ".join(f"({i}, '{p}')" for i, p in enumerate(POPS))
-_THRESH_VALUES = None  # filled lazily below
 
 
 def _thresholds_values() -> str:
@@ -34,9 +33,11 @@ FX_SQL: dict[str, str] = {
         f"{case_index('c_nationkey % 6', POPS)} AS pop, "
         "c_custkey % 10 <> 0 AS in_qc_list, c_custkey % 37 = 0 AS withdrawn FROM customer"),
     "fx_dosage": (
-        "SELECT o_custkey AS user_id, l_partkey AS vid, "
-        "CAST(max(CAST(l_quantity AS INTEGER) % 3) AS DOUBLE) AS dosage "
-        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey"),
+        "SELECT o_custkey AS user_id, vid, CAST(max(CAST(l_quantity AS INTEGER) % 3) AS DOUBLE) AS dosage "
+        "FROM (SELECT l_orderkey, l_partkey AS vid, l_quantity FROM lineitem UNION ALL "
+        "SELECT l_orderkey, l_partkey - 22, l_quantity FROM lineitem "
+        "WHERE (l_partkey // 22) % 4 <> 0 AND l_orderkey % 4 <> 0) l "
+        "JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, vid"),
     "fx_stat": (
         "SELECT pid, vid, pop, CAST(beta_c AS DOUBLE) AS beta, (10 + n) / 1e1 AS se, p, n, "
         "(1 + (vid * 31 + pid * 7) % 98) / 1e2 AS af, "
