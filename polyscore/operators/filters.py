@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from polyscore.constants import LAMBDA_GC_BOUNDS, MIN_ALLELE_COUNT, POPS
-from polyscore.functions.arrays import set_equals
 
 
 def lambda_gc_ok(lambda_gc) -> Column:
@@ -26,11 +25,6 @@ def filter_membership(df: DataFrame, col: str, values: Iterable | DataFrame, key
     return df.where(F.col(col).isin(*list(values)))
 
 
-def filter_pop_set(df: DataFrame, pops_col: str, pop_set: Iterable[str]) -> DataFrame:
-    """Exact population-set equality, order and duplicates ignored."""
-    return df.where(set_equals(pops_col, pop_set))
-
-
 def min_allele_count(af_map: str = "af", an_map: str = "an", pops: Sequence[str] | None = None,
                      min_count: int = MIN_ALLELE_COUNT) -> Column:
     """af[p] * an[p] >= min_count for at least one population (or the given ones)."""

@@ -75,6 +75,16 @@ def threshold_scores(weights: DataFrame, dosage: DataFrame, keys: Sequence[str],
     threshold.  The result has columns
     ``sample, *keys, p_threshold_name, p_threshold, score``.
     """
+    g = threshold_score_arrays(weights, dosage, keys, thresholds=thresholds, variant=variant, sample=sample,
+                               beta=beta, p=p, dosage_col=dosage_col)
+    return g.select(sample, *keys, F.inline("scores")).where(F.col("score").isNotNull())
+
+
+def threshold_score_arrays(weights: DataFrame, dosage: DataFrame, keys: Sequence[str], *,
+                           thresholds: Sequence[tuple[str, float]] = P_THRESHOLDS, variant: str = "vid",
+                           sample: str = "user_id", beta: str = "beta", p: str = "p",
+                           dosage_col: str = "dosage") -> DataFrame:
+    """``threshold_scores`` before its thresholds become rows: (sample, *keys, scores[]), null where nothing contributes."""
     max_t = max(t for _, t in thresholds)
     w = usable_weights(weights, beta=beta, p=p, max_threshold=max_t).select(variant, *keys, beta, p)
     d = dosage.select(sample, variant, dosage_col).where(F.col(dosage_col).isNotNull())
@@ -84,8 +94,7 @@ def threshold_scores(weights: DataFrame, dosage: DataFrame, keys: Sequence[str],
     per_t = F.array(*[F.struct(F.lit(n).alias("p_threshold_name"), F.lit(float(t)).alias("p_threshold"),
                                F.col(f"_s{i}").alias("score"))
                       for i, (n, t) in enumerate(thresholds)])
-    return (g.select(sample, *keys, F.inline(per_t))
-            .where(F.col("score").isNotNull()))
+    return g.select(sample, *keys, per_t.alias("scores"))
 
 
 def threshold_bucket(p: Column, thresholds: Sequence[tuple[str, float]] = P_THRESHOLDS) -> Column:

@@ -30,12 +30,14 @@ def write_per_key(df: DataFrame, path: str, key: str, *, sort_by: Sequence[str]
                   sep: str = "\t", compression: str = "gzip", max_records: int | None = None) -> None:
     """One folder of delimited files per key value (e.g. per phenotype).
 
-    Rows are clustered by key so each key is written by one task, sorted
-    within the task; NA marks missing values.
+    Rows are dealt by ranges of (key, sort_by), so a large key is spread over
+    as many tasks as it fills and its files, in name order, are sorted; without
+    ``sort_by`` a key is written by one task.  NA marks missing values.
     """
-    w = df.repartition(key)
     if sort_by:
-        w = w.sortWithinPartitions(key, *sort_by)
+        w = df.repartitionByRange(key, *sort_by).sortWithinPartitions(key, *sort_by)
+    else:
+        w = df.repartition(key)
     writer = (w.write.mode("overwrite").partitionBy(key).option("sep", sep).option("header", True)
               .option("nullValue", "NA").option("compression", compression))
     if max_records:
@@ -60,6 +62,14 @@ def next_batch_id(spark: SparkSession, path: str, batch_col: str = "batch") -> i
     return 1 if m is None else int(m) + 1
 
 
+def next_batch_folder(spark: SparkSession, path: str) -> str:
+    """First of ``path/batch1``, ``path/batch2``, ... that does not exist."""
+    b = 1
+    while path_exists(spark, f"{path}/batch{b}"):
+        b += 1
+    return f"{path}/batch{b}"
+
+
 def append_batch(df: DataFrame, path: str, batch_col: str = "batch") -> int:
     """Append df as the next batch, never clobbering an earlier one."""
     b = next_batch_id(df.sparkSession, path, batch_col)
