@@ -6,9 +6,10 @@ all documents of that language with the Jensen-Shannon distance (base 2, its
 square root, 0 to 1). Short documents have noisy histograms, so each test has a
 minimum length. Base rules (length, repetition) go first.
 
-The references are counted over all documents that pass the base rules. A
-language with a thousandth of all words or more has its own reference, so there
-are a thousand at most; the others are held against all languages together.
+The references are counted over all documents that pass the base rules, one for
+each language, and joined to the documents by language. A language's verdicts
+depend on its own documents only. Below LEAST_WORDS words a reference is too
+noisy: both tests abstain, the distances are null and the base rules decide.
 
 A null text has no words and fails the base rules, as does an empty one. A null
 language is a language of its own. Rows are judged one by one, so ties and
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyscore.llm.common import buffers, map_arrow, ngrams, row_of, rows_per_task, slices, space_lut, texts_of, words
+from polyscore.llm.common import buffers, map_arrow, ngrams, row_of, rows_per_task, slices, space_lut, stage, texts_of, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -33,8 +34,9 @@ MAX_REPEAT_PERCENT = 50
 MAX_CLASS, MIN_CLASS_WORDS = 0.30, 50
 MAX_WORD, MIN_WORD_WORDS = 0.39, 70
 COMMON = 48
-OWN_SHARE = 0.001
-REST = "\x00rest"
+#: Words of a language below which it has no reference. Drawn from sf0.1, references of 10,000 words fail 0.02% of
+#: other good documents of their language at most (mean of five draws), those of 5,000 words up to 1.8%.
+LEAST_WORDS = 10_000
 _TALLY = 2_000_000
 
 _CLASSES = 8
@@ -118,73 +120,82 @@ class _Tally:
         return keys, counts
 
 
-def references(docs: DataFrame, common: int = COMMON) -> dict[str, dict[str, np.ndarray]]:
-    """Class and common-word shares of each language with a reference of its own, and of all together."""
+def _by_language(lang: pa.Array, row: np.ndarray) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """Each language of a batch, its rows, its words, and of each word the place of its row among those rows."""
+    named = lang.dictionary_encode()
+    code = named.indices.to_numpy().astype(np.int64)
+    marks = np.arange(len(named.dictionary) + 1)
+    rows = np.argsort(code, kind="stable")
+    first = np.searchsorted(code[rows], marks)
+    place = np.empty(len(code), np.int64)
+    place[rows] = np.arange(len(code)) - first[code[rows]]
+    of_word = code[row]
+    at = np.argsort(of_word, kind="stable")
+    cut = np.searchsorted(of_word[at], marks)
+    for i, name in enumerate(named.dictionary.to_pylist()):
+        mine = at[cut[i]:cut[i + 1]]
+        yield name, rows[first[i]:first[i + 1]], mine, place[row[mine]]
+
+
+def references(docs: DataFrame, common: int = COMMON, least: int = LEAST_WORDS) -> DataFrame:
+    """A row for each language of ``least`` words or more: lang and ref (words, counts by class, most common words)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[str, _Tally] = {}
         classes: dict[str, np.ndarray] = {}
 
-        def given(lang: str) -> pa.RecordBatch:
-            k, c = tallies[lang].take()
-            return _rows(lang, 1, k.view(np.int64), c)
+        def given() -> pa.RecordBatch:
+            parts = []
+            for lang, tally in tallies.items():
+                k, c = tally.take()
+                parts += [(lang, 1, k.view(np.int64), c), (lang, 0, np.arange(len(classes[lang])), classes[lang])]
+            tallies.clear()
+            classes.clear()
+            return _rows(parts)
 
+        size = 0
         for batch in batches:
             for part in slices(batch):
                 x = Features(part.column(1))
-                langs, code = np.unique(part.column(0).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-                for i, lang in enumerate(langs.tolist()):
-                    mine = (code == i) & ~x.failed
-                    if not mine.any():
+                for lang, rows, at, _ in _by_language(part.column(0), x.row):
+                    rows = rows[~x.failed[rows]]
+                    if not len(rows):
                         continue
-                    classes[lang] = classes.get(lang, 0) + x.classes[mine].sum(0)
+                    classes[lang] = classes.get(lang, 0) + x.classes[rows].sum(0)
                     tally = tallies.setdefault(lang, _Tally())
-                    tally.add(x.lower[mine[x.row]])
-                    if tally.size > _TALLY:
-                        yield given(lang)
-        for lang in tallies:
-            if tallies[lang].size:
-                yield given(lang)
-            yield _rows(lang, 0, np.arange(len(classes[lang])), classes[lang])
+                    size -= tally.size
+                    tally.add(x.lower[at[~x.failed[x.row[at]]]])
+                    size += tally.size
+                if size > _TALLY:  # of all languages together
+                    yield given()
+                    size = 0
+        if tallies:
+            yield given()
 
     rows = texts_of(docs.withColumn("lang", F.coalesce(F.col("lang"), F.lit(""))), "lang")
     counted = (map_arrow(rows, count, "lang string, kind int, key long, n long")
                .groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")).persist())
     try:
-        total = counted.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("words"))
-        all_words = total.agg(F.sum("words")).first()[0] or 0
-        own = [r["lang"] for r in total.where(F.col("words") >= OWN_SHARE * all_words).collect()]  # 1 / OWN_SHARE at most
-        named = counted.where(F.col("lang").isin(own))
-        rest = counted.groupBy(F.lit(REST).alias("lang"), "kind", "key").agg(F.sum("n").alias("n"))
-        both = named.select("lang", "kind", "key", "n").unionByName(rest)
+        of_class = [F.sum(F.when((F.col("kind") == 0) & (F.col("key") == k), F.col("n")).otherwise(0)) for k in range(_CLASSES - 1)]
+        sums = (counted.groupBy("lang").agg(F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("words"),
+                                            F.array(*of_class).alias("classes")).where(F.col("words") >= least))
         part = F.pmod(F.xxhash64("key"), F.lit(rows_per_task(docs)))
         in_part = Window.partitionBy("lang", part).orderBy(F.desc("n"), "key")
         overall = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-        top = (both.where("kind = 1").withColumn("place", F.row_number().over(in_part)).where(F.col("place") <= common)
-               .withColumn("place", F.row_number().over(overall)).where(F.col("place") <= common))
-        sums = both.groupBy("lang", "kind").agg(F.sum("n").alias("n"))
-        out: dict[str, dict[str, np.ndarray]] = {}
-        for r in both.where("kind = 0").unionByName(top.drop("place")).collect():  # 7 + common rows a language
-            out.setdefault(r["lang"], {0: [], 1: []})[r["kind"]].append((r["key"], r["n"]))
-        made = {}
-        totals = {(r["lang"], r["kind"]): r["n"] for r in sums.collect()}
-        for lang, kinds in out.items():
-            keys = np.array([k for k, _ in kinds[1]], np.int64).view(np.uint64)
-            order = np.argsort(keys)
-            share = np.array([n for _, n in kinds[1]], float) / totals[lang, 1]
-            cls = np.zeros(7)
-            for k, n in kinds[0]:
-                cls[k] = n
-            made[lang] = {"classes": cls / max(cls.sum(), 1), "words": keys[order],
-                          "shares": np.append(share[order], max(0.0, 1 - share.sum()))}
-        return made
+        top = (counted.where("kind = 1").withColumn("place", F.row_number().over(in_part)).where(F.col("place") <= common)
+               .withColumn("place", F.row_number().over(overall)).where(F.col("place") <= common)
+               .groupBy("lang").agg(F.collect_list(F.struct("key", "n")).alias("top")))  # common words a language
+        return stage(sums.join(top, "lang").select("lang", F.struct("words", "classes", "top").alias("ref")), "references")
     finally:
         counted.unpersist()
 
 
-def _rows(lang: str, kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _rows(parts: list[tuple[str, int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    lang, kind, key, n = zip(*parts)
+    at = np.repeat(np.arange(len(parts)), [len(k) for k in key])
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(key)), pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n)],
+        [pa.array(lang, pa.string()).take(pa.array(at)), pa.array(np.array(kind, np.int32)[at]),
+         pa.array(np.concatenate(key)), pa.array(np.concatenate(n))],
         ["lang", "kind", "key", "n"])
 
 
@@ -197,49 +208,55 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((a + b) / 2, 0, 1))
 
 
-def distances(x: Features, lang: np.ndarray, refs: dict) -> tuple[np.ndarray, np.ndarray]:
+def _shares(ref: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class shares, the common words in order, and their shares with that of all other words at the end."""
+    keys = np.array([r["key"] for r in ref["top"]], np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    share = np.array([r["n"] for r in ref["top"]], float) / ref["words"]
+    cls = np.array(ref["classes"], float)
+    return cls / max(cls.sum(), 1), keys[order], np.append(share[order], max(0.0, 1 - share.sum()))
+
+
+def distances(x: Features, lang: pa.Array, refs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Both distances of each text from its language's reference, NaN where the language has none."""
     n = len(x.n_words)
-    by_class, by_word = np.zeros(n), np.zeros(n)
-    langs, code = np.unique(lang, return_inverse=True)
-    for i, name in enumerate(langs.tolist()):
-        ref = refs.get(name, refs.get(REST))
+    by_class, by_word = np.full(n, np.nan), np.full(n, np.nan)
+    for _, rows, at, place in _by_language(lang, x.row):
+        ref = refs[int(rows[0])].as_py()
         if ref is None:
             continue
-        mine = code == i
-        total = x.classes[mine].sum(1, keepdims=True)
-        by_class[mine] = js_distance(x.classes[mine] / np.maximum(total, 1), ref["classes"][None, :])
-        at = mine[x.row]
-        h, row = x.lower[at], x.row[at]
-        place = np.searchsorted(ref["words"], h)
-        k = len(ref["words"])
-        place[place == k] = 0
-        slot = np.where(ref["words"][place] == h, place, k) if k else np.zeros(len(h), np.int64)
-        counts = np.bincount(row * (k + 1) + slot, minlength=n * (k + 1)).reshape(n, k + 1)[mine]
-        by_word[mine] = js_distance(counts / np.maximum(counts.sum(1, keepdims=True), 1), ref["shares"][None, :])
+        classes, common, shares = _shares(ref)
+        total = x.classes[rows].sum(1, keepdims=True)
+        by_class[rows] = js_distance(x.classes[rows] / np.maximum(total, 1), classes[None, :])
+        h, k = x.lower[at], len(common)
+        slot = np.searchsorted(common, h)
+        slot[slot == k] = 0
+        slot = np.where(common[slot] == h, slot, k) if k else np.zeros(len(h), np.int64)
+        counts = np.bincount(place * (k + 1) + slot, minlength=len(rows) * (k + 1)).reshape(len(rows), k + 1)
+        by_word[rows] = js_distance(counts / np.maximum(counts.sum(1, keepdims=True), 1), shares[None, :])
     return by_class, by_word
 
 
 def quality(docs: DataFrame, max_class: float = MAX_CLASS, max_word: float = MAX_WORD,
-            common: int = COMMON) -> DataFrame:
-    """Per row: doc_id, the base counts, both distances and the verdict ``kept``."""
-    refs = docs.sparkSession.sparkContext.broadcast(references(docs, common))  # 1 / OWN_SHARE languages at most
+            common: int = COMMON, least: int = LEAST_WORDS) -> DataFrame:
+    """Per row: doc_id, the base counts, both distances (null without a reference) and the verdict ``kept``."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 x = Features(part.column(2))
-                lang = part.column(1).to_numpy(zero_copy_only=False).astype(str)
-                by_class, by_word = distances(x, lang, refs.value)
+                by_class, by_word = distances(x, part.column(1), part.column(3))
                 far = ((x.n_words >= MIN_CLASS_WORDS) & (by_class > max_class)
                        | (x.n_words >= MIN_WORD_WORDS) & (by_word > max_word))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *[pa.array(c.astype(np.int64)) for c in (
                         x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat)],
-                     pa.array(by_class), pa.array(by_word), pa.array(x.failed), pa.array(~x.failed & ~far)],
+                     pa.array(by_class, from_pandas=True), pa.array(by_word, from_pandas=True), pa.array(x.failed), pa.array(~x.failed & ~far)],
                     ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                      "class_distance", "word_distance", "base_failed", "kept"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    rows = rows.join(references(docs, common, least), "lang", "left").select("doc_id", "lang", "text", "ref")
     return map_arrow(rows, judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                      "n_repeat_words long, class_distance double, word_distance double, base_failed boolean, kept boolean")

@@ -57,6 +57,34 @@ def test_quality_rejects_marked_junk(spark, sf_small):
     assert good > 0.97
 
 
+def _tongue(name, n, seed):
+    rng = random.Random(seed)
+    vocab = [f"{name}{i}" for i in range(400)]
+    return [(" ".join(rng.choices(vocab, [1 / (i + 1) for i in range(400)], k=150)), name) for _ in range(n)]
+
+
+def test_rare_language_has_its_own_reference(spark):
+    rare, tiny, dominant = _tongue("ra", 10, 1), _tongue("ti", 3, 2), _tongue("en", 100, 3)
+    junk = [(" ".join(f"junk{i}" for i in range(150)), "ra")]
+
+    def judged(big):
+        rows = [(i, *r) for i, r in enumerate(rare + tiny + junk + dominant * big)]
+        got = divergence.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), least=1000)
+        return {r["doc_id"]: r for r in got.where(f"doc_id < {len(rare + tiny + junk)}").collect()}
+
+    few, many = judged(1), judged(120)
+    assert few == many  # the rare language is below a thousandth of all words in the second
+    assert all(many[i]["kept"] and many[i]["word_distance"] < 0.39 for i in range(10))
+    assert all(many[i]["kept"] and many[i]["word_distance"] is None and many[i]["class_distance"] is None for i in range(10, 13))
+    assert not many[13]["kept"] and not many[13]["base_failed"]
+
+
+def test_many_languages(spark):
+    rows = [(20 * i + j, text, name) for i in range(300) for j, (text, name) in enumerate(_tongue(f"l{i}x", 4, i))]
+    got = divergence.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string"), least=500).collect()
+    assert len(got) == 1200 and all(r["kept"] and r["word_distance"] < 0.39 for r in got)
+
+
 def test_records_round_trip(docs, tmp_path):
     path = tokens.default_path()
     folder, index = records.write_records(docs, path)
