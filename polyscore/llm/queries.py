@@ -37,7 +37,7 @@ def op6_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.katz_scores(table(spark, sf_dir, "documents"))[0]
+    return katz.katz_scores(table(spark, sf_dir, "documents"), order=3)[0]
 
 
 def op8_importance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,8 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from polyscore.llm import (decontaminate, divergence, importance, katz, line_dedup, packing, partenum, records, tag_paths, tokens,
-                           toxicity)
+from polyscore.llm import (decontaminate, divergence, importance, katz, line_dedup, packing, partenum, queries, records, tag_paths,
+                           tokens, toxicity)
 from polyscore.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -316,6 +316,14 @@ def test_katz_against_brute_force(spark, order):
         assert np.allclose([x[2] for x in ranked(got, c)], [x[2] for x in ranked(want, c)], atol=1e-5)
 
 
+def test_registered_katz_has_two_words_of_context(spark, sf_small):
+    df = spark.read.parquet(f"{sf_small}/documents.parquet")
+    score = lambda x: dict(x.select("doc_id", "score").collect())
+    got, want, less = score(queries.op7_katz(spark, sf_small)), score(katz.katz_scores(df, order=3)[0]), score(katz.katz_scores(df, order=2)[0])
+    assert got.keys() == want.keys() and all(np.isclose(got[k], want[k]) for k in want)
+    assert not all(np.isclose(got[k], less[k]) for k in less)
+
+
 def test_katz_packing_of_keys():
     keys = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 999).astype(np.uint64) * np.uint64(2))
     assert (katz.unpack(katz.pack(keys)) == keys).all()
