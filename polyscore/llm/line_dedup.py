@@ -3,10 +3,11 @@
 A text is a sequence of lines; blank ones are skipped, white space at a line's
 ends doesn't count. A window is a run of lines with ``MIN_WORDS`` words or more
 that no longer has as many without its last line (or, looked at from the end,
-without its first). Of each window the line with the smallest hash is selected
-as its fingerprint, so two texts with a common run of ``MIN_WORDS`` words are
-guaranteed to share fingerprints and their places. Places are joined on the fingerprint and the
-content of its window to the first text (smallest id, then place) that has it;
+without its first). Every window of a text is kept, not a selection of them: a
+row with the hash of all its lines in order and the smallest of their hashes,
+which follows from the same lines and selects nothing. So two texts with a
+common run of ``MIN_WORDS`` words are guaranteed to share a window. Windows are
+joined on both hashes to the first text (smallest id, then place) that has one;
 each match is extended both ways line by line along both texts, and the later
 run is deleted. All windows of a common run take part, whichever text comes
 first for each, so a run is deleted from end to end even if its parts were first
@@ -65,7 +66,7 @@ def windows(hashes: np.ndarray, count: np.ndarray, least: int = MIN_WORDS) -> tu
 
 
 def fingerprints(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest line hash of each window (its rightmost place counts), and the hash of the window's lines."""
+    """The smallest line hash of each window, and the hash of the window's lines in order."""
     size = last - first + 1
     step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     at = np.repeat(first, size) + step
