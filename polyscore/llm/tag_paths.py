@@ -8,7 +8,10 @@ the page, so a short paragraph among long ones isn't lost, then fused (their
 product), and paths whose fused ratio reaches a share of the page's spread are
 content. Boxes that HTML itself marks as something else (menus, forms, scripts,
 asides, footers) or whose class or id says so never are; a marked article is
-preferred where there is one, and its headings stay with it.
+preferred where there is one, and its headings stay with it, as do its lists,
+tables, quotations and preformatted blocks between kept blocks unless half of
+such a run's text is links. Paths that alternate lend each other ratio, but no
+more than the length of their own text (links not counted) bears out.
 
 A null page is empty; a page without any content path gives an empty text. A
 page that ends in the middle of a tag is read up to there. Repeated rows get
@@ -47,6 +50,7 @@ _CLOSES = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "t
            "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"},
            "tfoot": {"tbody", "thead", "tr", "td", "th"}}
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+_PARTS = frozenset("blockquote caption dd dl dt figcaption li ol pre table td th tr ul".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub "
                     "sup time tt u var label".split())
 _NOT_CONTENT = re.compile(
@@ -64,11 +68,12 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？¿¡»«\"]")
 
 
 class _Node:
-    __slots__ = ("tag", "path", "skip", "article", "link", "heading")
+    __slots__ = ("tag", "path", "skip", "article", "link", "heading", "inside")
 
-    def __init__(self, tag, path, skip, article, link, heading):
+    def __init__(self, tag, path, skip, article, link, heading, inside):
         self.tag, self.path, self.skip = tag, path, skip
         self.article, self.link, self.heading = article, link, heading
+        self.inside = inside  # of a list, table, quotation or preformatted block of the article
 
 
 class _Block:
@@ -99,7 +104,7 @@ def _attributes(raw: str) -> dict[str, str]:
 
 def blocks(html: str) -> list[tuple[_Node, str, float]]:
     """The text blocks of a page in order: the node they stand in, their text, the share of link text."""
-    root = _Node("", "", False, False, False, False)
+    root = _Node("", "", False, False, False, False, False)
     stack, out, at = [root], [], 0
     current = _Block(root)
 
@@ -176,7 +181,8 @@ def blocks(html: str) -> list[tuple[_Node, str, float]]:
         step, article, skip, header = _traits(tag, m[3] if _TELLING.search(m[3]) else "")
         stack.append(_Node(tag, up.path if tag in _INLINE else f"{up.path}/{step}",
                            up.skip or skip or header and not up.article, up.article or article,
-                           up.link or tag == "a", up.heading or tag in _HEADING))
+                           up.link or tag == "a", up.heading or tag in _HEADING,
+                           up.inside or up.article and tag in _PARTS))
         if tag in _BLOCK:
             current = _Block(stack[-1])
     flush()
@@ -203,7 +209,7 @@ def main_text(html: str | None, threshold: float = THRESHOLD, spread: int = SPRE
     text_ratio = np.bincount(code, weights=smooth(length)) / per
     mark_ratio = np.bincount(code, weights=smooth(marks)) / per
     fused = np.sqrt(text_ratio * (1 + mark_ratio))
-    fused = smooth_paths(fused, code)
+    fused = smooth_paths(fused, code, np.bincount(code, weights=length) / per, threshold)
     top = fused.max()
     content = fused >= threshold * (top + fused.std())
     linked = np.bincount(code, weights=[link for _, _, link in found]) / per
@@ -211,19 +217,28 @@ def main_text(html: str | None, threshold: float = THRESHOLD, spread: int = SPRE
     keep = content[code]
     heading = np.array([f[0].heading for f in found])
     if keep.any():  # headings belong to the content that follows them
-        last = int(np.flatnonzero(keep)[-1])
+        first, last = np.flatnonzero(keep)[[0, -1]].tolist()
+        inside = np.array([f[0].inside for f in found])
+        inside[:first] = inside[last:] = False
+        run = np.cumsum(np.diff(inside.astype(int), prepend=0) != 0)  # a list or table is judged by its links as a whole
+        size = np.array([len(t) for _, t, _ in found])
+        keep |= inside & (2 * np.bincount(run, weights=size - length) < np.bincount(run, weights=size))[run]
         article = np.array([f[0].article for f in found])
-        keep |= heading & (np.arange(len(found)) <= last) & (article | (np.arange(len(found)) >= np.flatnonzero(keep)[0] - 2))
+        keep |= heading & (np.arange(len(found)) <= last) & (article | (np.arange(len(found)) >= first - 2))
     return "\n".join(t for (_, t, _), k in zip(found, keep) if k)
 
 
-def smooth_paths(fused: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """Paths that alternate in the page (a paragraph, a list, a quotation) lend each other half of the difference."""
+def smooth_paths(fused: np.ndarray, code: np.ndarray, length: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Paths that alternate in the page (a paragraph, a list, a quotation) lend each other up to half of the difference.
+
+    The half is lent in full to a path whose own text per node, links not counted, reaches ``threshold`` of the
+    neighbour's, and in proportion below that.
+    """
     out = fused.copy()
     for a, b in zip(code[:-1], code[1:]):
-        if a != b:
-            high = max(fused[a], fused[b])
-            out[a], out[b] = max(out[a], (fused[a] + high) / 2), max(out[b], (fused[b] + high) / 2)
+        low, high = (a, b) if fused[a] < fused[b] else (b, a)
+        due = min(1.0, length[low] / max(threshold * length[high], 1e-9))
+        out[low] = max(out[low], fused[low] + due * (fused[high] - fused[low]) / 2)
     return out
 
 

@@ -138,6 +138,29 @@ def test_main_text():
     assert [tag_paths.main_text(x) for x in (None, "", "<div", "<!-- only -->")] == [""] * 4
 
 
+_PARAGRAPH = "Some words, then more of them, and so on, to the end; " * 3 + "a plain sentence without any further marks " * 6
+
+
+@pytest.mark.parametrize("part", ["<ul>" + "".join(f"<li>item number {i} of it</li>" for i in range(10)) + "</ul>",
+                                  "<table><tr><th>a head of it</th></tr>" + "".join(f"<tr><td>cell {i}</td></tr>" for i in range(9)) + "</table>",
+                                  "<pre>x = 1</pre>" * 9, "<blockquote><p>So it goes</p></blockquote>" * 9])
+def test_main_text_keeps_parts_of_a_marked_article(part):
+    body = "<h2>Over it</h2>".join([f"<p>{_PARAGRAPH}</p>" * 4, part, f"<p>{_PARAGRAPH}</p>" * 4])
+    want = re.sub(r"\s*\n\s*", "\n", re.sub(r"<[^>]*>", "\n", body)).strip()
+    assert tag_paths.main_text(f"<body><article>{body}</article><p>out, of, it</p></body>") == want
+    links = "<ul>" + "<li><a href=x>another page to see</a></li>" * 9 + "</ul>"
+    again = tag_paths.main_text(f"<body><article>{body.replace(part, part + '<h2>Over it</h2>' + links)}</article></body>")
+    assert "another page" not in again and len(again) >= len(want)
+
+
+def test_main_text_neighbours_need_text_of_their_own():
+    page = lambda part: f"<body><div><p>{_PARAGRAPH}</p>{part}<p>{_PARAGRAPH}</p><p>{_PARAGRAPH}</p></div></body>"
+    text = _PARAGRAPH.strip()
+    assert tag_paths.main_text(page("<div class=x>5 min</div>" * 9)) == "\n".join([text] * 3)
+    quote = "A quotation of some length, with marks, as long as a third of a paragraph, is content here, beside the rest of it."
+    assert tag_paths.main_text(page(f"<blockquote>{quote}</blockquote>")) == "\n".join([text, quote, text, text])
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>One, two, three.</p>"), (1, "u", "<p>One, two, three.</p>"), (2, None, None), (None, "v", "")],
                                   "page_id long, url string, html string")
