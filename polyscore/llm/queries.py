@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from polyscore.llm import (decontaminate, divergence, importance, katz, line_dedup, packing, partenum, records, tag_paths,
-                           tokens, toxicity)
+from polyscore.llm import (alignment, decontaminate, divergence, importance, katz, level_packing, line_dedup, packing,
+                           partenum, periodic, records, tag_paths, tokens, toxicity)
 from polyscore.llm.common import table
 
 
@@ -52,9 +52,22 @@ def op10_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.jaccard_components(table(spark, sf_dir, "documents")).drop("cls")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), *alignment.default_paths())
+
+
+def op12_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return level_packing.pack_levels(table(spark, sf_dir, "documents"), level_packing.default_path())
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_divergence, op2_records, op3_tag_paths, op4_line_winnowing, op5_best_two_fit,
-                            op6_prefix_decontamination, op7_katz, op8_importance, op9_ftrl, op10_partenum)}
+                            op6_prefix_decontamination, op7_katz, op8_importance, op9_ftrl, op10_partenum,
+                            op11_alignment, op12_sum_of_squares, op13_periodic_runs)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
