@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from polyscore.llm.common import buffers, map_arrow, slices, stage, texts_of
 from polyscore.llm.forms import LibraryEncoder, PieceEncoder, byte_level_bytes, forms_of, remembered
 
-#: Text bytes of a block and of a part of it that is aligned at a time.
-BLOCK, PART = 32 << 20, 2 << 20
+#: Text bytes of a block and of a part of it that is aligned at a time; word forms that a worker remembers.
+BLOCK, PART, REMEMBERED = 32 << 20, 2 << 20, 400_000
 _DOC = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
 _STAGED = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
            "places binary, links binary, place int, pair long, n long")
@@ -133,6 +133,7 @@ def _tables(path_a: str, path_b: str) -> tuple:
     """The worker's encoders, both kinds' token bytes and the decimal names of ids."""
     if (path_a, path_b) not in _TABLES:
         one, two = remembered(LibraryEncoder, path_a), remembered(PieceEncoder, path_b)
+        one.memory.most = two.memory.most = REMEMBERED
         raw = byte_level_bytes(one.tokenizer), two.token_bytes()
         names = pa.array([str(i) for i in range(max(map(len, raw)))])
         _TABLES[path_a, path_b] = (one, two, *(pa.array(r, pa.binary()) for r in raw), names)
@@ -147,9 +148,10 @@ def align_part(column: pa.Array, path_a: str, path_b: str) -> tuple[list, pa.Tab
     column = pc.if_else(filled, pc.binary_join_element_wise(pa.scalar(b" "), column, b""), b"")
     data, off = buffers(column)
     forms, row = forms_of(data, off)
+    distinct = forms.dictionary.to_pylist()
     kinds = []
     for encoder, token_bytes in ((one, bytes_a), (two, bytes_b)):
-        ids, count = encoder.memory.ids(forms) if len(row) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        ids, count = encoder.memory.ids(forms, distinct) if len(row) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
         kinds.append(Tokens(ids, np.repeat(row, count), texts, token_bytes))
     a, b = kinds
     good = whole(a, data, off) & whole(b, data, off)

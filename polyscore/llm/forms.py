@@ -74,9 +74,9 @@ class FormMemory:
         self.pool = np.zeros(0, np.int32)
         self.ends = np.zeros(1, np.int64)
 
-    def ids(self, forms: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all forms, one after the other, and each form's number of ids."""
-        distinct = forms.dictionary.to_pylist()
+    def ids(self, forms: pa.DictionaryArray, distinct: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all forms, one after the other, and each form's number of ids; ``distinct``: its dictionary as a list."""
+        distinct = forms.dictionary.to_pylist() if distinct is None else distinct
         if len(self.at) + len(distinct) > self.most or self.held > REMEMBERED_BYTES:
             self._forget()
         new = [f for f in distinct if f not in self.at]
