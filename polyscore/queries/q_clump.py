@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from polyscore.constants import POPS
 from polyscore.functions import ids
 from polyscore.operators import clump as cl
+from polyscore.operators import ld
 from polyscore.plans import ldclump as lc
 from polyscore.plans import subset as sb
 from polyscore.queries.q_basic import PHENO_ID_SQL, VARID_SQL
@@ -85,7 +86,7 @@ assigned AS (SELECT pid, vid, vid AS index_vid, true AS is_index FROM index_set
 
 def _panel_pairs(fx: Fixtures):
     panel = lc.reference_panel(fx.sample.select("user_id", "s", "pop"))
-    return lc.panel_ld_pairs(fx.dosage, panel, fx.variant)
+    return ld.panels_ld_pairs(fx.dosage, panel, fx.variant)
 
 
 def _cands(fx: Fixtures):
@@ -240,7 +241,7 @@ def clump_job_max_pops(spark, sf):
 def ld_pairs_panels(spark, sf):
     fx = Fixtures(spark, sf)
     sets = fx.own_pops.select(F.col("own_pops_str").alias("panel")).distinct()
-    return lc.panels_ld_pairs(fx.dosage, lc.panel_samples(fx.sample.select("user_id", "s", "pop"), sets), fx.variant)
+    return ld.panels_ld_pairs(fx.dosage, lc.panel_samples(fx.sample.select("user_id", "s", "pop"), sets), fx.variant)
 
 
 @register("genotype_subset_files", SUBSET_SQL + """

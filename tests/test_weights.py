@@ -21,7 +21,8 @@ def test_holes_filled_from_the_dropped_twin(spark):
 def test_clump_settles_a_long_chain(spark):
     n = 8
     cands = spark.createDataFrame([(1, v, 10.0 ** (v - 12), v * 10) for v in range(n)], "pid long, vid long, P double, pos long")
-    pairs = spark.createDataFrame([(v, v + 1) for v in range(n - 1)], "vid_a long, vid_b long")
+    pairs = spark.createDataFrame([(v, v + 1, "1", v * 10, v * 10 + 10) for v in range(n - 1)],
+                                  "vid_a long, vid_b long, chrom string, pos_a long, pos_b long")
     got = clump.ld_clump(cands, pairs, p1=1.0, p2=1.0).collect()
     assert len(got) == n
     assert {r.vid for r in got if r.is_index} == {0, 2, 4, 6}
