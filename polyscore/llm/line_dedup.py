@@ -3,15 +3,20 @@
 A text is a sequence of lines; blank ones are skipped, white space at a line's
 ends doesn't count. A window is a run of lines with ``MIN_WORDS`` words or more
 that no longer has as many without its last line (or, looked at from the end,
-without its first). Every window of a text is kept, not a selection of them: a
-row with the hash of all its lines in order and the smallest of their hashes,
-which follows from the same lines and selects nothing. So two texts with a
-common run of ``MIN_WORDS`` words are guaranteed to share a window. Windows are
-joined on both hashes to the first text (smallest id, then place) that has one;
-each match is extended both ways line by line along both texts, and the later
-run is deleted. All windows of a common run take part, whichever text comes
-first for each, so a run is deleted from end to end even if its parts were first
-seen in different texts.
+without its first). Of each window the line with the smallest hash is selected
+(the last of equal ones); a fingerprint is a selected line's hash and position,
+once for all windows that select it. Two texts with a common run of ``MIN_WORDS``
+words share a window, which selects the same line in both, so they are
+guaranteed to share a fingerprint's hash. Positions are joined on that hash:
+a fingerprint that is met at one position of the corpus only can't be part of a
+repeated run, and its windows go no further.
+
+At positions that share a fingerprint, windows with equal lines are joined to
+the first text (smallest id, then place) that has them; each match is extended
+both ways line by line along both texts, and the later run is deleted. All
+windows of a common run that the shared fingerprints stand for take part,
+whichever text comes first for each, so a run is deleted from end to end even if
+its parts were first seen in different texts.
 
 Within one text the later copy of a repeated run is deleted likewise. Blank
 lines inside a deleted run go with it. Texts that keep no line come out empty.
@@ -66,16 +71,19 @@ def windows(hashes: np.ndarray, count: np.ndarray, least: int = MIN_WORDS) -> tu
 
 
 def fingerprints(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest line hash of each window, and the hash of the window's lines in order."""
+    """Of each window the line selected, that is the last one with the smallest hash, and the hash of its lines in order."""
     size = last - first + 1
     step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     at = np.repeat(first, size) + step
     begin = np.cumsum(size) - size
-    least = np.minimum.reduceat(hashes[at], begin) if len(size) else np.zeros(0, np.uint64)
+    if not len(size):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    least = np.repeat(np.minimum.reduceat(hashes[at], begin), size)
+    selected = np.maximum.reduceat(np.where(hashes[at] == least, at, -1), begin)
     with np.errstate(over="ignore"):
         turn = _COEF[step & 63] * (step.astype(np.uint64) * np.uint64(2) + np.uint64(1))
-        content = np.add.reduceat(hashes[at] * turn, begin) if len(size) else np.zeros(0, np.uint64)
-        return least, mix(content + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        content = np.add.reduceat(hashes[at] * turn, begin)
+        return selected, mix(content + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def extend(later: np.ndarray, earlier: np.ndarray, first: int, last: int, shift: int) -> tuple[int, int]:
@@ -99,26 +107,42 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _fingerprint_rows(texts: DataFrame, least: int) -> DataFrame:
+    """One row per fingerprint: its text, hash and line, and the windows that select it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], []]
                 for i, text in enumerate(part.column(3).to_pylist()):
                     _, _, hashes, count = line_table(text)
                     if count.sum() < least:
                         continue
                     first, last = windows(hashes, count, least)
-                    low, content = fingerprints(hashes, first, last)
-                    for x, y in zip(out, (np.full(len(first), i), low.view(np.int64), content.view(np.int64), first, last)):
+                    selected, content = fingerprints(hashes, first, last)
+                    order = np.argsort(selected, kind="stable")
+                    for x, y in zip(out, (np.full(len(first), i), selected[order], hashes[selected[order]].view(np.int64),
+                                          first[order], last[order], content[order].view(np.int64))):
                         x.append(y)
                 if out[0]:
-                    row, low, content, first, last = (np.concatenate(x) for x in out)
+                    row, at, fp, first, last, content = (np.concatenate(x) for x in out)
+                    new = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (at[1:] != at[:-1]))))
+                    spots = pa.StructArray.from_arrays(
+                        [pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(content)],
+                        ["first", "last", "content"])
                     yield pa.RecordBatch.from_arrays(
-                        [*(part.column(c).take(pa.array(row)) for c in (0, 1, 2)), pa.array(low), pa.array(content),
-                         pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
-                        ["no_id", "id", "th", "fp", "content", "first", "last"])
+                        [*(part.column(c).take(pa.array(row[new])) for c in (0, 1, 2)), pa.array(fp[new]),
+                         pa.array(at[new].astype(np.int32)),
+                         pa.ListArray.from_arrays(pa.array(np.append(new, len(row)).astype(np.int32)), spots)],
+                        ["no_id", "id", "th", "fp", "at", "spots"])
 
-    return map_arrow(texts, run, "no_id boolean, id long, th long, fp long, content long, first int, last int")
+    return map_arrow(texts, run, "no_id boolean, id long, th long, fp long, at int, "
+                     "spots array<struct<first:int,last:int,content:long>>")
+
+
+def shared_windows(texts: DataFrame, least: int) -> DataFrame:
+    """The windows of the fingerprints whose hash is met at more than one position: no_id, id, th, fp, first, last, content."""
+    prints = stage(_fingerprint_rows(texts, least), "fingerprints")
+    again = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    return prints.join(again, "fp", "left_semi").select("no_id", "id", "th", "fp", F.inline("spots"))
 
 
 def _line_hashes(texts: DataFrame) -> DataFrame:
@@ -135,7 +159,7 @@ def _line_hashes(texts: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """For each text (no_id, id, th) with a later run: its runs as arrays of first and last lines."""
     texts = _keyed(docs)
-    prints = stage(_fingerprint_rows(texts, least), "fingerprints")
+    prints = stage(shared_windows(texts, least), "windows")
     key = ["fp", "content"]
     place = F.struct("no_id", "id", "th", "first")
     seen = (prints.groupBy(*key).agg(F.min(place).alias("o"), F.max(place).alias("z"))

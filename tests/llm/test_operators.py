@@ -198,6 +198,41 @@ def test_line_dedup_against_brute_force(spark):
         assert [x.strip() for x in r.text.split("\n") if x.split()] == want[False, r.doc_id, text], r
 
 
+def test_line_dedup_over_common_lines(spark):
+    """Selected lines that many texts hold apart from the passages: every text differs in the lines around them."""
+    rng = random.Random(8)
+    passages = [[f"p{i} a{j} b" for j in range(4)] for i in range(4)]
+    rows = []
+    for i in range(60):
+        x = [f"own{i} {j} x y" if rng.random() < .5 else rng.choice(["common one", "the common two", "a common line three"])
+             for j in range(12)]
+        at = rng.randrange(12)
+        rows.append((i, "\n".join(x[:at] + passages[rng.randrange(4)][:rng.randint(1, 4)] + x[at:])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = _brute_lines(rows, 9)
+    got = {r.doc_id: [x.strip() for x in r.text.split("\n") if x.split()] for r in line_dedup.dedup_lines(df, 9).collect()}
+    assert got == {i: want[False, i, t] for i, t in rows}
+
+
+def test_fingerprints_select_window_minima(spark):
+    rng = random.Random(5)
+    hashes = np.array([rng.choice([3, 5, 7, 11, 13, 17]) for _ in range(200)], np.uint64)
+    first, last = line_dedup.windows(hashes, np.array([rng.randint(1, 9) for _ in range(200)]), 20)
+    selected, _ = line_dedup.fingerprints(hashes, first, last)
+    for a, b, at in zip(first.tolist(), last.tolist(), selected.tolist()):
+        run = hashes[a:b + 1].tolist()
+        assert at == a + max(i for i, h in enumerate(run) if h == min(run))
+    assert len(set(selected.tolist())) < len(first) / 2
+
+
+def test_windows_of_lone_fingerprints_go_no_further(spark):
+    lone = "\n".join(f"lone {i} a b" for i in range(30))
+    shared = "\n".join(f"shared {i} a b" for i in range(30))
+    df = spark.createDataFrame([(1, lone), (2, shared + "\nx"), (3, "y\n" + shared)], "doc_id long, text string")
+    ids = {r.id for r in line_dedup.shared_windows(line_dedup._keyed(df), 50).collect()}
+    assert ids == {2, 3}
+
+
 def test_line_dedup_odd_rows(docs):
     got = line_dedup.dedup_lines(docs).collect()
     assert len(got) == len(edge.rows())
