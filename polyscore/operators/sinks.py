@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polyscore.session import path_exists
+from polyscore.session import create_exclusive, file_ages, move, path_exists
 
 
 def materialize(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
@@ -54,27 +56,55 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = "\t", header: bool =
     w.csv(path)
 
 
-def next_batch_id(spark: SparkSession, path: str, batch_col: str = "batch") -> int:
-    """First free batch number of a batch-partitioned dataset (max + 1, or 1)."""
-    if not path_exists(spark, path):
-        return 1
-    m = spark.read.parquet(path).agg(F.max(batch_col)).first()[0]
-    return 1 if m is None else int(m) + 1
+def claim_batch(spark: SparkSession, path: str, name: str = "batch", stale_after: float | None = None) -> int:
+    """An exclusive batch number: its marker ``path/_claims/<name><n>`` didn't exist before.
+
+    Numbers ascend from 1. With ``stale_after`` an abandoned claim (no finished
+    batch, last marker older than so many seconds) is taken over instead, by a retry
+    marker that is exclusive as well.
+    """
+    claims = f"{path}/_claims"
+    ages = file_ages(spark, claims)
+    if stale_after is not None:
+        for n in abandoned_batches(spark, path, name):
+            tries = [a for f, a in ages.items() if re.fullmatch(rf"{re.escape(name)}{n}(\.retry\d+)?", f)]
+            if min(tries) > stale_after and create_exclusive(spark, f"{claims}/{name}{n}.retry{len(tries)}"):
+                return n
+    taken = _numbers(ages, name) | _numbers(file_ages(spark, path), name)
+    n = max(taken, default=0) + 1
+    while not create_exclusive(spark, f"{claims}/{name}{n}"):
+        n += 1
+    return n
+
 
+def _numbers(names, name: str) -> set[int]:
+    return {int(m[1]) for f in names if (m := re.fullmatch(rf"{re.escape(name)}(\d+)", f))}
 
-def next_batch_folder(spark: SparkSession, path: str) -> str:
-    """First of ``path/batch1``, ``path/batch2``, ... that does not exist."""
-    b = 1
-    while path_exists(spark, f"{path}/batch{b}"):
-        b += 1
-    return f"{path}/batch{b}"
 
+def abandoned_batches(spark: SparkSession, path: str, name: str = "batch") -> list[int]:
+    """Claimed numbers without a finished batch: their writers failed or are still at work."""
+    return sorted(_numbers(file_ages(spark, f"{path}/_claims"), name) - _numbers(file_ages(spark, path), name))
 
-def append_batch(df: DataFrame, path: str, batch_col: str = "batch") -> int:
-    """Append df as the next batch, never clobbering an earlier one."""
-    b = next_batch_id(df.sparkSession, path, batch_col)
-    df.withColumn(batch_col, F.lit(b)).write.mode("append").partitionBy(batch_col).parquet(path)
-    return b
+
+def publish_batch(spark: SparkSession, path: str, write: Callable[[str], None], name: str = "batch",
+                  stale_after: float | None = None) -> str:
+    """Write a new batch beside the others, then give it its claimed name; returns its folder.
+
+    Readers of ``path`` see whole batches only: claims and unfinished work lie in
+    folders with an underscore. A batch whose name came to exist meanwhile (its claim was taken over) isn't replaced.
+    """
+    n = claim_batch(spark, path, name, stale_after)
+    work = f"{path}/_work/{name}{n}-{uuid.uuid4().hex[:12]}"
+    write(work)
+    target = f"{path}/{name}{n}"
+    move(spark, work, target)
+    return target
+
+
+def append_batch(df: DataFrame, path: str, batch_col: str = "batch", stale_after: float | None = None) -> int:
+    """Append df as a batch of its own, a partition of ``path``; never clobbers another, also with writers at once."""
+    target = publish_batch(df.sparkSession, path, lambda work: df.write.parquet(work), f"{batch_col}=", stale_after)
+    return int(target.rpartition("=")[2])
 
 
 def write_parts(df: DataFrame, path: str, part_col: str = "part_id") -> None:

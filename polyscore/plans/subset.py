@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyscore.constants import SUBSET_MAX_SAMPLES
+from polyscore.sources.genotypes import write_ranges
 from polyscore.operators.window import hash_order_key, top_n_per_group
 
 
@@ -49,6 +50,6 @@ def genotype_subset(dosage: DataFrame, subset: DataFrame, variants: DataFrame) -
             .select("pops", "chrom", "vid", "varid", "user_id", "dosage"))
 
 
-def write_genotype_subset(df: DataFrame, path: str) -> None:
-    """Partition folders by population set and chromosome (one split per chromosome)."""
-    (df.repartition("pops", "chrom").write.mode("overwrite").partitionBy("pops", "chrom").parquet(path))
+def write_genotype_subset(df: DataFrame, path: str, **sizes: int) -> None:
+    """Folders by population set and chromosome, each of as many files as its ranges of variants fill."""
+    write_ranges(df, path, folders=("pops", "chrom"), pos="vid", **sizes)

@@ -16,6 +16,7 @@ from polyscore.operators import sinks
 from polyscore.queries.registry import register
 from polyscore.sources import text
 from polyscore.sources.fixtures import Fixtures
+from polyscore.sources.genotypes import read_region, write_ranges
 from polyscore.sources.staged import staged_path
 
 PHENO_ID_SQL = ("replace(replace(trait_type || '-' || phenocode || '-' || pheno_sex || "
@@ -57,19 +58,20 @@ def text_inferred_scan(spark, sf):
 
 
 def _clump_text_rows(fx: Fixtures):
-    """Clump-result text rows per phenotype, and a row without contig for each, as the clumper's blank last lines read."""
+    """Clump-result text rows per phenotype, and two rows without a contig for each, as blank lines read."""
     v = fx.variant
     m = fx.min_stat.join(v, "vid")
     tot = [F.expr("CAST(vid % 5 AS INT)").alias("NSIG"), F.expr("CAST((vid + pid) % 4 AS INT)").alias("S05"),
            F.expr("CAST(pid % 3 AS INT)").alias("S01"), F.expr("CAST(vid % 2 AS INT)").alias("S001"),
            F.expr("CAST((vid * pid) % 3 AS INT)").alias("S0001")]
-    return m.select(
-        F.col("pid"),
-        F.col("chrom").alias("contig"), F.lit(1).alias("F"),
-        ids.variant_id().alias("varid"), "pos", "p", *tot, "vid",
+    rows = m.select(
+        F.col("pid"), F.col("chrom").alias("contig"), F.lit(1).alias("F"),
+        ids.variant_id().alias("varid"), "pos", "p", *tot,
     ).selectExpr("pid", "contig", "F", "varid", "pos", "p AS P",
                  "NSIG + S05 + S01 + S001 + S0001 AS TOTAL", "NSIG", "S05", "S01", "S001", "S0001",
                  "CASE WHEN NSIG + S05 + S01 + S001 + S0001 = 0 THEN 'NONE' ELSE varid || '(1)' END AS SP2")
+    blank = fx.pheno.select("pid", F.explode(F.array(F.lit(""), F.lit(" "))).alias("contig"))
+    return rows.unionByName(blank, allowMissingColumns=True)
 
 
 CLUMP_TEXT_SQL = f"""
@@ -87,7 +89,7 @@ def _clump_text_path(spark, sf):
 
     def build(p):
         rows = _clump_text_rows(fx)
-        (rows.repartition("pid").write.mode("overwrite").partitionBy("pid").option("sep", "\t")
+        (rows.repartitionByRange("pid", "pos").write.mode("overwrite").partitionBy("pid").option("sep", "\t")
          .option("header", False).csv(p))
     return staged_path(spark, sf, "clump_text", build)
 
@@ -123,16 +125,15 @@ def finngen_scan(spark, sf):
             F.col("chrom").alias("#chrom"), "pos", "ref", "alt", F.col("p").alias("pval"), "pid"), p,
             compression="gzip")
     path = staged_path(spark, sf, "external_gz", build)
-    return text.read_delimited(spark, path, infer=True, min_partitions=spark.sparkContext.defaultParallelism)
+    return text.read_delimited(spark, path, schema="`#chrom` int, pos int, ref string, alt string, pval double, pid int",
+                               min_partitions=spark.sparkContext.defaultParallelism)
 
 
 def _genotype_path(spark, sf):
     fx = Fixtures(spark, sf)
 
     def build(p):
-        (fx.dosage.join(fx.variant.select("vid", "chrom", "pos"), "vid")
-         .repartition("chrom").sortWithinPartitions("pos")
-         .write.mode("overwrite").partitionBy("chrom").parquet(p))
+        write_ranges(fx.dosage.join(fx.variant.select("vid", "chrom", "pos"), "vid"), p)
     return staged_path(spark, sf, "genotypes_by_chrom", build)
 
 
@@ -151,8 +152,7 @@ def _stats_by_region_path(spark, sf):
     fx = Fixtures(spark, sf)
 
     def build(p):
-        from polyscore.sources.genotypes import write_region_indexed
-        write_region_indexed(fx.sumstats.join(fx.variant.select("vid", "chrom", "pos"), "vid"), p)
+        write_ranges(fx.sumstats.join(fx.variant.select("vid", "chrom", "pos"), "vid"), p)
     return staged_path(spark, sf, "sumstats_by_region", build)
 
 
@@ -160,9 +160,7 @@ def _stats_by_region_path(spark, sf):
 SELECT s.pid, s.vid, s.pop, v.chrom, v.pos, s.p FROM fx_sumstats s JOIN fx_variant v ON s.vid = v.vid
 WHERE v.chrom = '5' AND v.pos BETWEEN 100000 AND 900000""")
 def region_query(spark, sf):
-    from polyscore.sources.genotypes import region
-    from polyscore.sources.genotypes import read_by_chrom
-    return region(read_by_chrom(spark, _stats_by_region_path(spark, sf)), "5", 100000, 900000) \
+    return read_region(spark, _stats_by_region_path(spark, sf), "5", 100000, 900000) \
         .select("pid", "vid", "pop", "chrom", "pos", "p")
 
 

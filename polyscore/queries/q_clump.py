@@ -244,11 +244,11 @@ def ld_pairs_panels(spark, sf):
     return ld.panels_ld_pairs(fx.dosage, lc.panel_samples(fx.sample.select("user_id", "s", "pop"), sets), fx.variant)
 
 
-@register("genotype_subset_files", SUBSET_SQL + """
-SELECT sub.pops, v.chrom, count(*) AS n_entries, count(DISTINCT d.user_id) AS n_samples
-FROM fx_dosage d JOIN sub ON d.user_id = sub.user_id JOIN fx_variant v ON v.vid = d.vid GROUP BY sub.pops, v.chrom""")
+@register("genotype_subset_files", SUBSET_SQL + f"""
+SELECT sub.pops, v.chrom, d.vid, {VARID_SQL} AS varid, d.user_id, d.dosage
+FROM fx_dosage d JOIN sub ON d.user_id = sub.user_id JOIN fx_variant v ON v.vid = d.vid""")
 def genotype_subset_files(spark, sf):
-    """Subset genotypes written as one folder per (population set, chromosome), then read back."""
+    """Subset genotypes written by population set and chromosome, then read back."""
     from polyscore.session import scratch_path
     from polyscore.sources.genotypes import read_by_chrom
     fx = Fixtures(spark, sf)
@@ -256,9 +256,7 @@ def genotype_subset_files(spark, sf):
     sub = sb.sample_subset(fx.sample.select("user_id", "s", "pop"), sets)
     path = scratch_path(spark, "genotype_subset")
     sb.write_genotype_subset(sb.genotype_subset(fx.dosage, sub, fx.variant), path)
-    back = read_by_chrom(spark, path)
-    return back.groupBy("pops", "chrom").agg(F.count(F.lit(1)).alias("n_entries"),
-                                             F.countDistinct("user_id").alias("n_samples"))
+    return read_by_chrom(spark, path).select("pops", "chrom", "vid", "varid", "user_id", "dosage")
 
 
 CAND_NOT_EUR = f"""SELECT {_PHENO_ID} AS pheno_id, 'AFR,AMR,CSA,EAS,MID' AS panel, m.vid, m.p AS P, v.chrom, v.pos

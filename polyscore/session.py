@@ -70,15 +70,52 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The session's Hadoop file system of a path, and the path as its own type."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system of the session."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = _file_system(spark, path)
     return bool(fs.exists(jpath))
 
 
-__all__ = ["get_session", "scratch_dir", "scratch_path", "path_exists", "local_path", "os"]
+def create_exclusive(spark: SparkSession, path: str) -> bool:
+    """Create an empty file unless there is one; of several callers one gets True.
+
+    Needs a file system with an atomic create, as HDFS and local disks have.
+    """
+    from py4j.protocol import Py4JJavaError
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath.getParent())
+    if fs.getUri().getScheme() == "file":  # Hadoop's own local create looks first and then writes
+        return bool(spark.sparkContext._jvm.java.io.File(jpath.toUri().getPath()).createNewFile())
+    try:
+        fs.create(jpath, False).close()
+    except Py4JJavaError as e:
+        if fs.exists(jpath):
+            return False
+        raise e
+    return True
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a finished folder to a name that isn't taken."""
+    fs, jsource = _file_system(spark, source)
+    _, jtarget = _file_system(spark, target)
+    if fs.exists(jtarget) or not fs.rename(jsource, jtarget):
+        raise FileExistsError(target)
+
+
+def file_ages(spark: SparkSession, folder: str) -> dict[str, float]:
+    """Names in a folder and the seconds since each was changed."""
+    import time
+    if not path_exists(spark, folder):
+        return {}
+    fs, jpath = _file_system(spark, folder)
+    return {f.getPath().getName(): time.time() - f.getModificationTime() / 1000 for f in fs.listStatus(jpath)}
 
 
 _SHIPPED: set[str] = set()

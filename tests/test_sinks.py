@@ -2,7 +2,9 @@
 
 import glob
 import gzip
+import threading
 
+import pytest
 from pyspark.sql import functions as F
 
 from polyscore.operators import sinks
@@ -43,3 +45,34 @@ def test_wide_export_computes_rows_once_and_keeps_batches(spark, tmp_path):
     assert len(first) == len(second) == 2 and not set(first) & set(second)
     for path in first + second:
         assert spark.read.option("header", True).option("sep", "\t").csv(path).count() == 5
+
+
+def test_writers_at_once_get_different_batches(spark, tmp_path):
+    path = str(tmp_path / "b")
+    got = []
+    threads = [threading.Thread(target=lambda k=k: got.append(sinks.append_batch(spark.range(k * 100, k * 100 + 100), path)))
+               for k in range(4)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(got) == [1, 2, 3, 4]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(400))
+    assert {r.batch for r in spark.read.parquet(path).select("batch").distinct().collect()} == {1, 2, 3, 4}
+
+
+def test_an_abandoned_claim_is_seen_skipped_and_taken_over(spark, tmp_path):
+    path = str(tmp_path / "b")
+    assert sinks.append_batch(spark.range(5), path) == 1
+
+    def fail(work):
+        spark.range(3).write.parquet(work)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        sinks.publish_batch(spark, path, fail, "batch=")
+    assert sinks.abandoned_batches(spark, path, "batch=") == [2]
+    assert spark.read.parquet(path).count() == 5  # nothing of the lost writer shows
+    assert sinks.append_batch(spark.range(7), path) == 3
+    assert sinks.append_batch(spark.range(2), path, stale_after=3600) == 4  # too young to be taken over
+    assert sinks.append_batch(spark.range(11), path, stale_after=0) == 2
+    assert sinks.abandoned_batches(spark, path, "batch=") == []
+    assert spark.read.parquet(path).count() == 5 + 7 + 2 + 11
