@@ -54,6 +54,9 @@ QUERIES, HELD = 256, 2048
 #: Shingles of the sets that a task keeps while it verifies pairs.
 RECENT = 1 << 21
 _LUT = space_lut(True)
+#: The part of a shingle by the low byte of its hash, and the parts that stay when one is left out.
+_PART = np.arange(256) % PARTS
+_OTHERS = np.array([[q for q in range(PARTS) if q != p] for p in range(PARTS)])
 
 
 def shingle_sets(column: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -105,34 +108,33 @@ def signatures(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> n
         groups = _groups(b, percent)
         with np.errstate(over="ignore"):
             m = mix(s * np.uint64(0x9E3779B97F4A7C15) + np.uint64(b))
-        group = (m >> np.uint64(8)) % np.uint64(groups)
-        group = group.astype(np.int64) + groups * common
-        slot = group * PARTS + (m & np.uint64(255)).astype(np.int64) % PARTS
+        group = ((m >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64) + groups * common
+        slot = group * PARTS + _PART[m.view(np.int64) & 255]
         order = np.argsort(slot, kind="stable")
         slot = slot[order]
         first = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
+        table = np.zeros(2 * groups * PARTS, np.uint64)
+        full = np.zeros(len(table), bool)
         with np.errstate(over="ignore"):
-            content = np.add.reduceat(mix(m[order]), first)
-        used = slot[first]
-        group, place = np.unique(used // PARTS, return_inverse=True)
-        table = np.zeros((len(group), PARTS), np.uint64)
-        table[place, used % PARTS] = content
-        full = np.zeros((len(group), PARTS), bool)
-        full[place, used % PARTS] = True
-        lone = np.cumsum(full.sum(1) == 1)
+            table[slot[first]] = np.add.reduceat(mix(m[order]), first)
+        full[slot[first]] = True
+        full = full.reshape(-1, PARTS)
+        filled = full.sum(1)
+        group = np.flatnonzero(filled)
+        lone = np.cumsum(filled[group] == 1)
         enough = np.arange(1, len(group) + 1) > (k + np.minimum(lone, k)) // 2
         need = int(np.argmax(enough)) + 1 if enough.any() else len(group)
         sparse |= not enough.any()
-        for left_out in range(PARTS):
-            rest = [p for p in range(PARTS) if p != left_out]
-            some = full[:need, rest].any(1)
-            tag = mix(np.uint64(b * PARTS + left_out) + group[:need].astype(np.uint64) * np.uint64(1 << 8))
-            with np.errstate(over="ignore"):
-                total = table[:need, rest[0]] + table[:need, rest[1]] * np.uint64(0xD6E8FEB86659FD93)
-                out.append(mix(total ^ tag)[some])
+        group = group[:need]
+        full, table = full[group], table.reshape(-1, PARTS)[group]
+        one, two = _OTHERS[:, 0], _OTHERS[:, 1]
+        with np.errstate(over="ignore"):
+            tag = mix((np.arange(b * PARTS, b * PARTS + PARTS) + (group << 8)[:, None]).astype(np.uint64))
+            total = table[:, one] + table[:, two] * np.uint64(0xD6E8FEB86659FD93)
+        out.append(mix((total ^ tag)[full[:, one] | full[:, two]]))
     if sparse:
         out.append(mix(s[:k + 1] ^ np.uint64(0xA0761D6478BD642F)))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    return np.concatenate(out).view(np.int64)
 
 
 def _contains(sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
