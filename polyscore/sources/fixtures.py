@@ -14,7 +14,7 @@ TPC-H-like tables, so every query's work grows with the given data:
 * ``meta``         meta-analysis per (pid, vid, meta_ix): 0 = all pops, k = without pop k-1
 * ``min_stat``     ``stat`` by (pid, vid): summed beta, minimum p
 * ``gene``         from nation    (chrom, start_pos, end_pos, gene_name)
-* ``phenotype``    sample x first 20 phenotypes, ``both_sexes`` 0/1/null
+* ``phenotype``    sample x all phenotypes, ``both_sexes`` 0/1/null
 
 The same definitions exist as DuckDB SQL in ``polyscore.queries.oracle``.
 Betas are integer valued so that sums are exact in both engines.
