@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from polyscore.constants import POPS
+from polyscore.constants import CLUMP_CHROMOSOMES, POPS
 from polyscore.functions import ids
 from polyscore.operators import clump as cl
 from polyscore.operators import ld
@@ -12,7 +12,9 @@ from polyscore.plans import ldclump as lc
 from polyscore.plans import subset as sb
 from polyscore.queries.q_basic import PHENO_ID_SQL, VARID_SQL
 from polyscore.queries.registry import register
+from polyscore.session import create_exclusive
 from polyscore.sources.fixtures import Fixtures
+from polyscore.sources.staged import staged_path
 
 SUBSET_SQL = """
 WITH ps AS (SELECT DISTINCT own_pops_str AS pops FROM fx_own_pops),
@@ -272,3 +274,80 @@ CAND_NOT_EUR = f"""SELECT {_PHENO_ID} AS pheno_id, 'AFR,AMR,CSA,EAS,MID' AS pane
 @register("clump_job_not_pop", clump_job_sql(CAND_NOT_EUR))
 def clump_job_not_pop(spark, sf):
     return _clump_job(spark, sf, "not_pop", "EUR")
+
+
+def _sets_cand_sql() -> str:
+    """Candidates of the twelve sets; the job takes the place of the phenotype id in the clump chain."""
+    number = {n: i for i, n in enumerate(lc.CLUMP_SETS)}
+    contigs = ", ".join(f"'{c}'" for c in CLUMP_CHROMOSOMES)
+    own = case_of("s.pop", {p: number[p] for p in POPS})
+    out_ix = case_of("m.meta_ix", {i + 1: number[f"not_{p}"] for i, p in enumerate(POPS)})
+    lacks = case_of("x.pop", {p: number[f"not_{p}"] for p in POPS})
+    panel = case_of("job % 12", {i: f"'{lc.set_panel(n)}'" for n, i in number.items()})
+    return f"""SELECT job AS pheno_id, {panel} AS panel, vid, P, chrom, pos FROM (
+  SELECT s.pid * 12 + {own} AS job, s.vid, s.p AS P, v.chrom, v.pos FROM fx_sumstats s JOIN fx_variant v ON s.vid = v.vid
+  JOIN fx_pheno_pop pp ON pp.pid = s.pid AND pp.pop = s.pop
+  WHERE s.p IS NOT NULL AND coalesce(NOT s.low_confidence, true) AND coalesce(v.high_quality, true)
+  UNION ALL SELECT m.pid * 12 + {out_ix}, m.vid, m.p, v.chrom, v.pos FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid
+  JOIN fx_variant v ON m.vid = v.vid WHERE n.num_pops = 6 AND m.meta_ix > 0 AND m.p IS NOT NULL
+  UNION ALL SELECT m.pid * 12 + {lacks}, m.vid, m.p, v.chrom, v.pos FROM fx_meta m JOIN fx_num_pops n ON m.pid = n.pid
+  JOIN (SELECT n.pid, a.pop FROM fx_num_pops n CROSS JOIN (SELECT unnest({POPS!r}) AS pop) a
+        WHERE NOT EXISTS (SELECT 1 FROM fx_pheno_pop q WHERE q.pid = n.pid AND q.pop = a.pop)) x ON x.pid = m.pid
+  JOIN fx_variant v ON m.vid = v.vid
+  WHERE n.num_pops = 5 AND m.meta_ix = 0 AND m.p IS NOT NULL AND coalesce(v.high_quality, true)) WHERE chrom IN ({contigs})"""
+
+
+def case_of(column: str, values: dict) -> str:
+    quoted = lambda k: f"'{k}'" if isinstance(k, str) else k
+    return f"CASE {column} " + " ".join(f"WHEN {quoted(k)} THEN {v}" for k, v in values.items()) + " END"
+
+
+def sets_sql(tail: str) -> str:
+    """The clump matrix of the twelve sets as CTE ``matrix``, then ``tail``."""
+    chain, rows = clump_job_sql(_sets_cand_sql()).rsplit("\nSELECT i.pheno_id", 1)
+    sets = case_of("pheno_id % 12", {i: f"'{n}'" for i, n in enumerate(lc.CLUMP_SETS)})
+    panel = case_of("pheno_id % 12", {i: f"'{lc.set_panel(n)}'" for i, n in enumerate(lc.CLUMP_SETS)})
+    return f"""{chain},
+job_rows AS (SELECT i.pheno_id{rows}),
+matrix AS (SELECT pheno_id // 12 AS pid, vid, {panel} AS clump_pops_str, P, TOTAL, NSIG, S05, S01, S001, S0001, SP2,
+  {sets} AS "set" FROM job_rows)
+{tail}"""
+
+
+def _matrix(spark, sf):
+    """The twelve sets' results, clumped once per session and input."""
+    base = staged_path(spark, sf, "clump_sets", lambda path: _build_sets(spark, sf, path))
+    return lc.clump_sets(Fixtures(spark, sf), base)
+
+
+def _build_sets(spark, sf, path):
+    lc.clump_sets(Fixtures(spark, sf), path)
+    create_exclusive(spark, f"{path}/_SUCCESS")
+
+
+@register("clump_sets", sets_sql("SELECT * FROM matrix"))
+def clump_sets(spark, sf):
+    """Clump results of every phenotype on the six single-population and six leave-one-out sets."""
+    return _matrix(spark, sf)
+
+
+@register("full_clump_sets", sets_sql("""SELECT pid, vid, string_agg(clump_pops_str, ';' ORDER BY clump_pops_str) AS clump_pops,
+  CAST(count(*) AS INTEGER) AS n_sets, CAST(sum(TOTAL) AS BIGINT) AS sum_total FROM matrix GROUP BY pid, vid"""))
+def full_clump_sets(spark, sf):
+    """The twelve clump results joined per (phenotype, variant)."""
+    from polyscore.plans.clumping import full_clump
+    return full_clump([_matrix(spark, sf).select("pid", "vid", "clump_pops_str", "TOTAL")])
+
+
+@register("prs_weights_sets", sets_sql("""SELECT c.pid, c.clump_pops_str, c.vid, coalesce(c.beta, s.beta) AS beta, coalesce(c.p, s.p) AS p
+FROM (SELECT m.pid, d.pops_str AS clump_pops_str, m.vid, m.beta, m.p, 0 AS source FROM fx_meta m
+    JOIN fx_meta_data d ON m.pid = d.pid AND m.meta_ix = d.meta_ix
+  UNION ALL SELECT pid, pop, vid, beta, p, 1 FROM fx_sumstats
+    WHERE (pid, pop) NOT IN (SELECT pid, pops_str FROM fx_meta_data)) c
+JOIN matrix cl ON cl.pid = c.pid AND cl.vid = c.vid AND cl.clump_pops_str = c.clump_pops_str
+LEFT JOIN fx_sumstats s ON s.pid = c.pid AND s.vid = c.vid AND s.pop = c.clump_pops_str"""))
+def prs_weights_sets(spark, sf):
+    """Score weights of every column that has a clump result in one of the twelve sets."""
+    from polyscore.plans import prs
+    fx = Fixtures(spark, sf)
+    return prs.prs_weights(fx.meta, fx.meta_data, fx.sumstats, _matrix(spark, sf), fx.pheno_pop)

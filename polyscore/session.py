@@ -101,6 +101,17 @@ def create_exclusive(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own that no later step reads."""
+    fs, jpath = _file_system(spark, path)
+    fs.delete(jpath, True)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a finished folder to a name that isn't taken."""
     fs, jsource = _file_system(spark, source)
