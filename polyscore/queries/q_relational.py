@@ -60,11 +60,25 @@ def collect_by_key(spark, sf):
 @register("to_matrix", """
 SELECT DISTINCT s.pid, ph.trait_type, ph.phenocode FROM fx_min s JOIN fx_pheno ph ON s.pid = ph.pid""")
 def to_matrix(spark, sf):
+    return _matrix_parts(spark, sf)[1]
+
+
+@register("to_matrix_rows", """
+SELECT DISTINCT v.vid, v.chrom, v.pos FROM fx_min s JOIN fx_pheno ph ON s.pid = ph.pid JOIN fx_variant v ON v.vid = s.vid""")
+def to_matrix_rows(spark, sf):
+    return _matrix_parts(spark, sf)[0]
+
+
+@register("to_matrix_entries", """
+SELECT s.vid, s.pid, s.beta, s.p FROM fx_min s JOIN fx_pheno ph ON s.pid = ph.pid JOIN fx_variant v ON v.vid = s.vid""")
+def to_matrix_entries(spark, sf):
+    return _matrix_parts(spark, sf)[2]
+
+
+def _matrix_parts(spark, sf):
     fx = Fixtures(spark, sf)
     flat = fx.min_stat.join(fx.pheno, "pid").join(fx.variant, "vid")
-    rows, cols, entries = rs.to_matrix(flat, ["vid"], ["pid"], ["chrom", "pos"], ["trait_type", "phenocode"],
-                                       ["beta", "p"])
-    return cols
+    return rs.to_matrix(flat, ["vid"], ["pid"], ["chrom", "pos"], ["trait_type", "phenocode"], ["beta", "p"])
 
 
 @register("axis_index", """
@@ -154,6 +168,20 @@ def union_cols_inner(spark, sf):
     return jn.union_cols_inner(a, b, ["vid"])
 
 
+@register("union_cols_all", """
+WITH a AS (SELECT m.pid, m.vid, d.pops_str AS col, m.beta, m.p FROM fx_meta m
+  JOIN fx_meta_data d ON m.pid = d.pid AND m.meta_ix = d.meta_ix),
+b AS (SELECT pid, vid, pop AS col, beta, p FROM fx_sumstats),
+shared AS (SELECT vid FROM a INTERSECT SELECT vid FROM b)
+SELECT * FROM a WHERE vid IN (SELECT vid FROM shared) UNION ALL SELECT * FROM b WHERE vid IN (SELECT vid FROM shared)""")
+def union_cols_all(spark, sf):
+    """Columns of every meta-analysis set beside those of every population, on the variants that both have."""
+    fx = Fixtures(spark, sf)
+    a = fx.meta.join(fx.meta_data.select("pid", "meta_ix", F.col("pops_str").alias("col")), ["pid", "meta_ix"]) \
+        .select("pid", "vid", "col", "beta", "p")
+    return jn.union_cols_inner(a, fx.sumstats.select("pid", "vid", F.col("pop").alias("col"), "beta", "p"), ["vid"])
+
+
 @register("union_cols_outer", """
 SELECT m.pid, m.vid, d.pops_str AS clump_pops_str, m.p FROM fx_meta m
 JOIN fx_meta_data d ON m.pid = d.pid AND m.meta_ix = d.meta_ix""")
@@ -306,9 +334,9 @@ WITH c AS (SELECT DISTINCT m.pid, d.pops_str AS clump_pops_str, 0 AS source FROM
 SELECT pid, clump_pops_str, min(source) AS source FROM c GROUP BY pid, clump_pops_str""")
 def distinct_by_col(spark, sf):
     fx = Fixtures(spark, sf)
-    cols = prs.stats_columns(fx.meta, fx.meta_data, fx.sumstats).select("pid", "clump_pops_str", "source") \
-        .unionByName(fx.own_pops.select("pid", F.col("own_pops_str").alias("clump_pops_str"), F.lit(1).alias("source")))
-    return prs.distinct_columns(cols).distinct()
+    dim = prs.column_dimension(fx.meta_data, fx.pheno_pop).unionByName(
+        fx.own_pops.select("pid", F.col("own_pops_str").alias("clump_pops_str"), F.lit(1).alias("source")))
+    return prs.distinct_columns(dim, dim).distinct()
 
 
 @register("coalesce_stats", """
