@@ -3,15 +3,20 @@
 The text nodes of a page are grouped by their path of tags from the root to the
 leaf (with class names, so that boxes of one kind form one path). For each path
 two ratios are taken: text length per node, and punctuation per node; link text
-counts against a path. The ratios of the nodes are smoothed over their order in
-the page, so a short paragraph among long ones isn't lost, then fused (their
-product), and paths whose fused ratio reaches a share of the page's spread are
-content. Boxes that HTML itself marks as something else (menus, forms, scripts,
-asides, footers) or whose class or id says so never are; a marked article is
-preferred where there is one, and its headings stay with it, as do its lists,
-tables, quotations and preformatted blocks between kept blocks unless half of
-such a run's text is links. Paths that alternate lend each other ratio, but no
-more than the length of their own text (links not counted) bears out.
+counts against a path. The ratios are fused with the path's whole text (the
+cube root of their product); a path that stands
+between others in the page is smoothed towards the lesser of them, no further
+than the length of its own text (links not counted) bears out, while what comes
+before or after them all gets nothing. Paths whose fused ratio reaches a share of
+the page's highest are content. This alone parts articles from menus, adverts
+and footers where paragraphs are longer than these.
+
+What HTML, roles, class names or ids say is a prior: in a box that is marked as
+something else, or outside a marked article, a ratio counts a small part, and such
+a path needs more than a floor. So long comments in a box of that name go, but
+an article whose box has such a name stays. The headings of the content stay
+with it, as do the lists, tables, quotations and preformatted blocks of a marked
+article between kept blocks unless half of such a run's text is links.
 
 A null page is empty; a page without any content path gives an empty text. A
 page that ends in the middle of a tag is read up to there. Repeated rows get
@@ -33,16 +38,19 @@ from pyspark.sql import functions as F
 
 from polyscore.llm.common import map_arrow
 
-#: Share of the spread of the fused ratios that a content path reaches.
-THRESHOLD = 0.25
-#: Nodes on either side that the smoothing takes in.
-SPREAD = 2
+#: Share of the highest fused ratio that a content path reaches.
+THRESHOLD = 0.6
+#: Share of its neighbours' text per node from which a path between them is smoothed in full.
+BORNE = 0.25
+#: What a ratio counts in a box that is marked as something else, and what is left of it has to exceed.
+PRIOR, FLOOR = 0.02, 3.0
 
 # Element names of HTML by their role.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-_SKIP = frozenset("script style noscript template textarea title xmp iframe noembed noframes head nav footer aside form button "
-                  "select option svg canvas object audio video dialog menu".split())
+_SKIP = frozenset("script style noscript template textarea title xmp iframe noembed noframes head button "
+                  "select option svg canvas object audio video".split())
+_BOX = frozenset("nav footer aside form dialog menu".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol optgroup option p pre section "
                    "summary table tbody td tfoot th thead tr ul".split())
@@ -68,10 +76,11 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？¿¡»«\"]")
 
 
 class _Node:
-    __slots__ = ("tag", "path", "skip", "article", "link", "heading", "inside")
+    __slots__ = ("tag", "path", "skip", "boxed", "article", "link", "heading", "inside")
 
-    def __init__(self, tag, path, skip, article, link, heading, inside):
+    def __init__(self, tag, path, skip, boxed, article, link, heading, inside):
         self.tag, self.path, self.skip = tag, path, skip
+        self.boxed = boxed  # in a box that is marked as something else than content
         self.article, self.link, self.heading = article, link, heading
         self.inside = inside  # of a list, table, quotation or preformatted block of the article
 
@@ -86,16 +95,17 @@ class _Block:
 
 
 @lru_cache(4096)
-def _traits(tag: str, raw: str) -> tuple[str, bool, bool, bool]:
-    """Step of the path; whether a tag is the article, is never content, or is a header."""
+def _traits(tag: str, raw: str) -> tuple[str, bool, bool, bool, bool]:
+    """Step of the path; whether a tag is the article, holds no running text, is marked as something else, or is a header."""
     attributes = _attributes(raw) if raw else {}
     name = f"{attributes.get('class', '')} {attributes.get('id', '')}".strip()
     step = tag + "".join("." + c for c in attributes.get("class", "").split()[:2])
     role = attributes.get("role", "")
     article = tag in ("article", "main") or role in ("main", "article") or attributes.get("itemprop") == "articleBody"
-    skip = (tag in _SKIP or "hidden" in raw.lower().split() or role in _ROLE or attributes.get("aria-hidden") == "true"
-            or tag not in ("html", "body", "article", "main") and bool(name and _NOT_CONTENT.search(name)))
-    return step, article, skip, tag == "header"
+    skip = tag in _SKIP or "hidden" in raw.lower().split() or attributes.get("aria-hidden") == "true"
+    boxed = (tag in _BOX or role in _ROLE
+             or tag not in ("html", "body", "article", "main") and bool(name and _NOT_CONTENT.search(name)))
+    return step, article, skip, boxed, tag == "header"
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -104,7 +114,7 @@ def _attributes(raw: str) -> dict[str, str]:
 
 def blocks(html: str) -> list[tuple[_Node, str, float]]:
     """The text blocks of a page in order: the node they stand in, their text, the share of link text."""
-    root = _Node("", "", False, False, False, False, False)
+    root = _Node("", "", False, False, False, False, False, False)
     stack, out, at = [root], [], 0
     current = _Block(root)
 
@@ -178,9 +188,9 @@ def blocks(html: str) -> list[tuple[_Node, str, float]]:
             end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
             at = end.start() if end else len(html)
         up = stack[-1]
-        step, article, skip, header = _traits(tag, m[3] if _TELLING.search(m[3]) else "")
+        step, article, skip, boxed, header = _traits(tag, m[3] if _TELLING.search(m[3]) else "")
         stack.append(_Node(tag, up.path if tag in _INLINE else f"{up.path}/{step}",
-                           up.skip or skip or header and not up.article, up.article or article,
+                           up.skip or skip, up.boxed or boxed or header and not up.article, up.article or article,
                            up.link or tag == "a", up.heading or tag in _HEADING,
                            up.inside or up.article and tag in _PARTS))
         if tag in _BLOCK:
@@ -189,56 +199,56 @@ def blocks(html: str) -> list[tuple[_Node, str, float]]:
     return out
 
 
-def main_text(html: str | None, threshold: float = THRESHOLD, spread: int = SPREAD) -> str:
-    found = blocks(html) if html else []
-    found = [f for f in found if not f[0].skip]
-    if any(f[0].article and not f[0].heading for f in found):
-        found = [f for f in found if f[0].article]
+def main_text(html: str | None, threshold: float = THRESHOLD, *, ratios: bool = True, marks: bool = True) -> str:
+    """The content blocks of a page, one a line. ``ratios`` and ``marks`` switch either kind of evidence off, for comparison."""
+    found = [f for f in blocks(html) if not f[0].skip] if html else []
     if not found:
         return ""
-    length = np.array([len(t) * (1 - link) for _, t, link in found])
-    marks = np.array([len(_PUNCTUATION.findall(t)) * (1 - link) for _, t, link in found])
-    window = np.exp(-0.5 * (np.arange(-spread, spread + 1) / max(spread / 2, 1)) ** 2)
-    window /= window.sum()
-
-    def smooth(x: np.ndarray) -> np.ndarray:
-        return np.convolve(np.pad(x, spread, mode="edge"), window, "valid")
-
+    unlinked = np.array([len(t) * (1 - link) for _, t, link in found])
+    points = np.array([len(_PUNCTUATION.findall(t)) * (1 - link) for _, t, link in found])
+    article = np.array([f[0].article for f in found])
+    heading = np.array([f[0].heading for f in found])
+    boxed = np.array([f[0].boxed for f in found])
+    if (article & ~heading & ~boxed).any():
+        boxed |= ~article
+    if not marks:
+        boxed[:] = article[:] = False
     paths, code = np.unique([f[0].path for f in found], return_inverse=True)
     per = np.maximum(np.bincount(code), 1)
-    text_ratio = np.bincount(code, weights=smooth(length)) / per
-    mark_ratio = np.bincount(code, weights=smooth(marks)) / per
-    fused = np.sqrt(text_ratio * (1 + mark_ratio))
-    fused = smooth_paths(fused, code, np.bincount(code, weights=length) / per, threshold)
-    top = fused.max()
-    content = fused >= threshold * (top + fused.std())
+    length = np.bincount(code, weights=unlinked) / per
+    fused = np.cbrt(length * (1 + np.bincount(code, weights=points) / per) * np.bincount(code, weights=unlinked))
+    out = np.bincount(code, weights=boxed) == per
+    prior = np.where(out, PRIOR, 1.0)
+    fused = smooth_paths(fused * prior, code, length * prior)
+    if not ratios:
+        fused = prior * 2 * FLOOR
     linked = np.bincount(code, weights=[link for _, _, link in found]) / per
-    content &= linked < 0.5
+    content = (fused >= threshold * fused[~out].max(initial=0)) & (linked < 0.5) & (~out | (fused > FLOOR))
     keep = content[code]
-    heading = np.array([f[0].heading for f in found])
     if keep.any():  # headings belong to the content that follows them
         first, last = np.flatnonzero(keep)[[0, -1]].tolist()
-        inside = np.array([f[0].inside for f in found])
+        inside = np.array([f[0].inside for f in found]) & ~boxed
         inside[:first] = inside[last:] = False
         run = np.cumsum(np.diff(inside.astype(int), prepend=0) != 0)  # a list or table is judged by its links as a whole
         size = np.array([len(t) for _, t, _ in found])
-        keep |= inside & (2 * np.bincount(run, weights=size - length) < np.bincount(run, weights=size))[run]
-        article = np.array([f[0].article for f in found])
-        keep |= heading & (np.arange(len(found)) <= last) & (article | (np.arange(len(found)) >= first - 2))
+        keep |= inside & (2 * np.bincount(run, weights=size - unlinked) < np.bincount(run, weights=size))[run]
+        at = np.arange(len(found))
+        keep |= heading & (at <= last) & (article | (at >= first - 2)) & (~boxed | content[code])
     return "\n".join(t for (_, t, _), k in zip(found, keep) if k)
 
 
-def smooth_paths(fused: np.ndarray, code: np.ndarray, length: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
-    """Paths that alternate in the page (a paragraph, a list, a quotation) lend each other up to half of the difference.
+def smooth_paths(fused: np.ndarray, code: np.ndarray, length: np.ndarray, borne: float = BORNE) -> np.ndarray:
+    """A path with others on both sides (a quotation among paragraphs) gets up to half of what the lesser of them has more.
 
-    The half is lent in full to a path whose own text per node, links not counted, reaches ``threshold`` of the
+    The half is lent in full to a path whose own text per node, links not counted, reaches ``borne`` of the
     neighbour's, and in proportion below that.
     """
     out = fused.copy()
-    for a, b in zip(code[:-1], code[1:]):
-        low, high = (a, b) if fused[a] < fused[b] else (b, a)
-        due = min(1.0, length[low] / max(threshold * length[high], 1e-9))
-        out[low] = max(out[low], fused[low] + due * (fused[high] - fused[low]) / 2)
+    runs = code[np.flatnonzero(np.diff(code, prepend=-1))]
+    for a, b, c in zip(runs[:-2], runs[1:-1], runs[2:]):
+        least = a if fused[a] < fused[c] else c
+        due = min(1.0, length[b] / max(borne * length[least], 1e-9))
+        out[b] = max(out[b], fused[b] + due * (fused[least] - fused[b]) / 2)
     return out
 
 

@@ -161,6 +161,33 @@ def test_main_text_neighbours_need_text_of_their_own():
     assert tag_paths.main_text(page(f"<blockquote>{quote}</blockquote>")) == "\n".join([text, quote, text, text])
 
 
+def test_ratios_part_articles_from_the_rest(spark, sf_small):
+    pages = [r[0] for r in spark.read.parquet(f"{sf_small}/pages.parquet").select("html").collect()]
+    whole = [tag_paths.main_text(p) for p in pages]
+    alone = [tag_paths.main_text(p, marks=False) for p in pages]
+    neither = [tag_paths.main_text(p, marks=False, ratios=False) for p in pages]
+    assert sum(a == w for a, w in zip(alone, whole)) >= .85 * len(pages)
+    assert sum(n != w for n, w in zip(neither, whole)) >= .9 * len(pages)  # without the ratios the rest stays
+
+
+def test_marks_are_a_prior_of_the_ratios():
+    body = f"<p>{_PARAGRAPH}</p>" * 3
+    text = "\n".join([_PARAGRAPH.strip()] * 3)
+    other = f"<div class=comments>{f'<p>{_PARAGRAPH} They, too, say.</p>' * 9}</div><footer>A, b, c. All rights, reserved.</footer>"
+    for page in (f"<body><article>{body}</article>{other}</body>", f"<body><div>{body}</div>{other}</body>",
+                 f"<body>{other}<div>{body}</div></body>", f"<body><div class=social>{body}</div></body>"):  # the last is misnamed
+        assert tag_paths.main_text(page) == text, page
+    assert tag_paths.main_text(f"<body><article><h1>Only a head</h1></article>{'<footer>A, b, c.</footer>'}</body>") == "Only a head"
+    assert tag_paths.main_text("<body><nav>Here, there.</nav><footer>A, b, c.</footer></body>") == ""
+
+
+def test_extract_edge_cases(spark):
+    assert tag_paths.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    long = "<p>" + "many words, and more. " * 200_000 + "</p>"
+    got = tag_paths.extract(spark.createDataFrame([(1, "u", long, "x", 3)], "page_id long, url string, html string, text string, n_chars int"))
+    assert got.columns == ["page_id", "url", "text", "n_chars"] and got.first()["n_chars"] == 200_000 * 22 - 1
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>One, two, three.</p>"), (1, "u", "<p>One, two, three.</p>"), (2, None, None), (None, "v", "")],
                                   "page_id long, url string, html string")
