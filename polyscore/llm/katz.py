@@ -16,11 +16,16 @@ single words leave. A context never seen passes straight to the lower order.
 The corpus is cut into blocks of texts. A block asks for its distinct n-grams
 only, once each, sorted and bucketed by key, with its own training counts; a
 bucket adds the counts of all blocks up, writes its part of the model table
-(order, bucket, keys, counts) and answers every block in the order it asked. One
-block of those that hold an n-gram owns it and adds it to its context's sums,
-and contexts are settled by buckets in the same way. No table is joined to the
-tokens, a hot n-gram is one entry per block, and a task holds a block or a bucket
-at a time. An n-gram is named by a 64-bit hash.
+(order, bucket, keys, counts) and answers every block in the order it asked, with
+the places of the keys in its part. C(h) is h's own count as an n-gram, so a
+context is named by its place from then on. One block of those that hold an n-gram
+owns it and adds its lower probability to its context's sum; an n-gram that was
+seen was seen at every lower order too, so these sums need no weights, and only
+contexts that some text leaves for the lower order get their weight back. No table
+is joined to the tokens, a hot n-gram is one entry per block, and a task holds a
+block or a bucket at a time. An n-gram is named by a hash of ``KEY_BITS`` bits
+(about one pair in 400 million n-grams shares a name), and a block's share of a
+context's sum is rounded to 2**-40.
 
 A null text is empty and scored as its end token. A null id is outside every
 fold and trained on. Repeated rows are texts of their own. With no training text all
@@ -44,6 +49,9 @@ ORDER = 2
 MOST = 5
 #: Text bytes of a block.
 BLOCK = 16 << 20
+KEY_BITS = 56
+#: Bytes of a block's share of a context's sum, a fraction of 1.
+_SHARE = 5
 _LUT = space_lut(True)
 _START, _END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 _COEF = mix(np.arange(101, 133, dtype=np.uint64)) | np.uint64(1)
@@ -90,7 +98,34 @@ def gram_keys(tokens: np.ndarray, last: np.ndarray, m: int) -> np.ndarray:
         h = np.full(len(last), m, np.uint64)
         for j in range(m):
             h += tokens[last - j] * _COEF[m - 1 - j]
-        return mix(h)
+        return mix(h) >> np.uint64(64 - KEY_BITS)
+
+
+def start_key(m: int) -> np.uint64:
+    """Key of ``m`` start tokens, the context of a text's first token."""
+    return gram_keys(np.full(m, _START, np.uint64), np.array([m - 1]), m)[0]
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the place of each key among them."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ranked[new], place
+
+
+def pack_shares(x: np.ndarray) -> bytes:
+    """Fractions of 1 in ``_SHARE`` bytes each, like bytes side by side."""
+    whole = np.minimum(np.rint(x * 2.0 ** (8 * _SHARE)), 2.0 ** (8 * _SHARE) - 1).astype("<u8")
+    return np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8).T[:_SHARE]).tobytes()
+
+
+def unpack_shares(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(_SHARE, -1).astype(np.float64)
+    return np.sum(planes * (2.0 ** (8 * np.arange(_SHARE) - 8 * _SHARE))[:, None], axis=0)
 
 
 def discounts(of_count: np.ndarray, most: int = MOST) -> np.ndarray:
@@ -132,7 +167,7 @@ class Model:
 
 
 class Block:
-    """The tokens of a block's texts, and its distinct n-grams and contexts in key order."""
+    """The tokens of a block's texts, and its distinct n-grams in key order."""
 
     def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], held: np.ndarray, order: int):
         count = np.concatenate([c for _, c in parts])
@@ -148,21 +183,85 @@ class Block:
             predicted[begin + j] = False
         self.last = np.flatnonzero(predicted)
         self.row = np.repeat(np.arange(len(count)), count + 1)
-        self.n = len(count)
-        self.train = ~held[self.row]
-        self.order = order
+        self.first = np.cumsum(count + 1) - count - 1
+        self.n, self.order = len(count), order
+        self.train, self.train_texts = ~held[self.row], int((~held).sum())
+        self._known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def grams(self, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct keys, and the place among them of every token's n-gram and (last) of the start tokens."""
+        if m not in self._known:
+            keys, place = distinct(np.append(gram_keys(self.tokens, self.last, m), start_key(m)))
+            self._known[m] = keys, place.astype(np.int32)
+        return self._known[m]
+
+    def counts(self, m: int) -> np.ndarray:
+        """Training counts of the distinct n-grams; start tokens count once a text."""
+        keys, place = self.grams(m)
+        n = np.bincount(place[:-1][self.train], minlength=len(keys))
+        n[place[-1]] += self.train_texts
+        return n
+
+    def contexts(self, m: int) -> np.ndarray:
+        """Place of the context of every token's n-gram of ``m`` among the distinct n-grams of ``m`` - 1."""
+        place = self.grams(m - 1)[1]
+        out = np.empty(len(self.last), np.int32)
+        out[1:] = place[:-2]
+        out[self.first] = place[-1]
+        return out
+
+
+class Answers:
+    """What the buckets said about a block's n-grams and contexts."""
+
+    def __init__(self, x: Block, rows: dict[tuple[int, int], list[dict]]):
+        self.x, self._rows = x, rows
+        self._counts: dict[int, np.ndarray] = {}
 
-    def grams(self, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys, where each occurs first, and the place of every token's n-gram among them."""
-        return np.unique(gram_keys(self.tokens, self.last, m), return_index=True, return_inverse=True)
+    def _join(self, kind: int, m: int, read: Callable[[dict], np.ndarray], kind_of: type) -> np.ndarray:
+        return np.concatenate([np.zeros(0, kind_of), *(read(r) for r in self._rows.get((kind, m), []))])
 
-    def contexts(self, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """The same of the contexts of n-grams of ``m`` tokens, without the first places."""
-        return np.unique(gram_keys(self.tokens, self.last - 1, m - 1), return_inverse=True)
+    def counts(self, m: int) -> np.ndarray:
+        if m not in self._counts:
+            self._counts[m] = self._join(_REPLY, m, lambda r: unpack_counts(r["a"], r["n"]), np.int64)
+        return self._counts[m]
+
+    def owned(self, m: int) -> np.ndarray:
+        return self._join(_REPLY, m, lambda r: _bits(r["b"], r["n"]), bool)
+
+    def places(self, m: int) -> np.ndarray:
+        """Places of the n-grams in their buckets' parts of the model; 0 for those not in it."""
+        out = np.zeros(len(self.counts(m)), np.int64)
+        out[self.counts(m) > 0] = self._join(_REPLY, m, lambda r: unpack(r["c"]), np.uint64)
+        return out
+
+    def asked(self, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which n-grams of ``m`` - 1 are contexts seen in training, and which of these are left for the lower order."""
+        context, seen = self.x.contexts(m), self.counts(m - 1) > 0
+        here, left = np.zeros(len(seen), bool), np.zeros(len(seen), bool)
+        here[context] = True
+        left[context[self.counts(m)[self.x.grams(m)[1][:-1]] == 0]] = True
+        return here & seen, left & seen
+
+    def whole(self, m: int) -> np.ndarray:
+        """Denominators of the contexts of n-grams of ``m``; 0 for a context never seen."""
+        out = self.counts(m - 1).copy()
+        out[self.asked(m)[0]] += self._join(_CONTEXT, m - 1, lambda r: _bits(r["a"], r["n"]), bool)
+        return out
+
+    def weights(self, m: int) -> np.ndarray:
+        """Backoff weights of the contexts left for the lower order, 1 for all others."""
+        out = np.ones(len(self.counts(m - 1)))
+        out[self.asked(m)[1]] = self._join(_CONTEXT, m - 1, lambda r: np.frombuffer(r["b"]), np.float64)
+        return out
+
+
+def _bits(raw: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
 
 
 def _bucket_slices(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
-    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(KEY_BITS - bits)
     cuts = np.append(np.searchsorted(keys, edges), len(keys))
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         yield b, int(cuts[b]), int(cuts[b + 1])
@@ -175,7 +274,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _in_blocks(rows: DataFrame, parts: int, order: int,
-               work: Callable[[int, Block, list, dict], Iterator], schema: str) -> DataFrame:
+               work: Callable[[int, Block, list, Answers], Iterator], schema: str) -> DataFrame:
     """``work`` on each block's texts and the answers it got (which come first in a block)."""
     ready = rows.repartition(parts, "block").sortWithinPartitions("block", "kind", "ord", "bucket")
 
@@ -186,7 +285,7 @@ def _in_blocks(rows: DataFrame, parts: int, order: int,
             if parts:
                 mine = Block(parts, np.array(held, bool), order)
                 parts.clear()
-                yield from work(now, mine, ids, {k: _joined(k[0], v) for k, v in answers.items()})
+                yield from work(now, mine, ids, Answers(mine, answers))
 
         for batch in batches:
             block = batch.column(0).to_numpy()
@@ -200,8 +299,8 @@ def _in_blocks(rows: DataFrame, parts: int, order: int,
                 part = batch.slice(a, b - a)
                 kind = part.column(1).to_numpy()
                 texts = int(np.searchsorted(kind, _TEXT))
-                for r in part.slice(0, texts).select(["kind", "ord", "n", "a", "b"]).to_pylist():
-                    answers.setdefault((r["kind"], r["ord"]), []).append((r["n"], r["a"], r["b"]))
+                for r in part.slice(0, texts).select(["kind", "ord", "n", "a", "b", "c"]).to_pylist():
+                    answers.setdefault((r["kind"], r["ord"]), []).append(r)
                 part = part.slice(texts)
                 ids += part.column(5).to_pylist()
                 held += part.column(6).to_pylist()
@@ -214,13 +313,6 @@ def _in_blocks(rows: DataFrame, parts: int, order: int,
     return map_arrow(ready, run, schema)
 
 
-def _joined(kind: int, rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    if kind == _REPLY:
-        return (np.concatenate([unpack_counts(a, n) for n, a, _ in rows]),
-                np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for n, _, b in rows]).astype(bool))
-    return np.concatenate([np.frombuffer(a) for _, a, _ in rows]), np.concatenate([np.frombuffer(b) for _, _, b in rows])
-
-
 def _in_buckets(rows: DataFrame, parts: int, settle: Callable[[int, int, list[dict]], Iterator[tuple]]) -> DataFrame:
     """``settle`` on the rows of each (order, bucket)."""
     ready = rows.repartition(parts, "ord", "bucket").sortWithinPartitions("ord", "bucket", "block")
@@ -241,96 +333,115 @@ def _in_buckets(rows: DataFrame, parts: int, settle: Callable[[int, int, list[di
 
 
 def _count_requests(bits: int, order: int):
-    def work(block: int, x: Block, ids: list, answers: dict) -> Iterator[pa.RecordBatch]:
+    def work(block: int, x: Block, ids: list, answers: Answers) -> Iterator[pa.RecordBatch]:
         for m in range(1, order + 1):
-            keys, _, place = x.grams(m)
-            n = np.bincount(place[x.train], minlength=len(keys))
-            rows = [(block, _REPLY, m, b, j - i, pack(keys[i:j]), pack_counts(n[i:j]), None, None)
-                    for b, i, j in _bucket_slices(keys, bits)]
-            if rows:
-                yield _batch(rows)
+            keys, n = x.grams(m)[0], x.counts(m)
+            yield _batch([(block, _REPLY, m, b, j - i, pack(keys[i:j]), pack_counts(n[i:j]), None, None)
+                          for b, i, j in _bucket_slices(keys, bits)])
     return work
 
 
-def _settle_counts(m: int, bucket: int, rows: list[dict]) -> Iterator[tuple]:
-    """Answers (total count, whether this block owns the n-gram), the model's part and counts of counts."""
-    keys = np.concatenate([unpack(r["keys"]) for r in rows])
-    n = np.concatenate([unpack_counts(r["a"], r["n"]) for r in rows])
-    uniq, place = np.unique(keys, return_inverse=True)
-    total = np.bincount(place, weights=n, minlength=len(uniq)).astype(np.int64)
-    seen = np.flatnonzero(n > 0)
-    owner = np.zeros(len(keys), bool)
-    first = np.full(len(uniq), -1, np.int64)
-    first[place[seen][::-1]] = seen[::-1]
-    owner[first[first >= 0]] = True
-    at = 0
-    for r in rows:
-        mine = slice(at, at + r["n"])
-        yield (r["block"], _REPLY, m, bucket, r["n"], None, pack_counts(total[place[mine]]),
-               np.packbits(owner[mine]).tobytes(), None)
-        at += r["n"]
-    known = total > 0
-    few = np.bincount(total[known][total[known] <= MOST + 1], minlength=MOST + 2)
-    yield (-1, _MODEL, m, bucket, int(known.sum()), pack(uniq[known]), pack_counts(total[known]),
-           few.astype("<i8").tobytes(), np.array([total.sum()], "<i8").tobytes())
-
-
-def _context_requests(bits: int, order: int, m: int, model):
-    """Sums over the n-grams of ``m`` words that a block owns, by their context: tokens, discounted mass, lower order's mass."""
-    def work(block: int, x: Block, ids: list, answers: dict) -> Iterator[pa.RecordBatch]:
+def _settle_counts(order: int):
+    """Answers (total count, whether this block owns the n-gram, places of the known ones), the model's part, counts of counts."""
+    def settle(m: int, bucket: int, rows: list[dict]) -> Iterator[tuple]:
+        keys = np.concatenate([unpack(r["keys"]) for r in rows])
+        n = np.concatenate([unpack_counts(r["a"], r["n"]) for r in rows])
+        uniq, place = distinct(keys)
+        total = np.bincount(place, weights=n, minlength=len(uniq)).astype(np.int64)
+        seen = np.flatnonzero(n > 0)
+        owner = np.zeros(len(keys), bool)
+        first = np.full(len(uniq), -1, np.int64)
+        first[place[seen][::-1]] = seen[::-1]
+        owner[first[first >= 0]] = True
+        start = uniq == start_key(m)
+        owner[start[place]] = False
+        known = total > 0
+        rank = np.cumsum(known) - 1
+        at = 0
+        for r in rows:
+            mine = place[at:at + r["n"]]
+            yield (r["block"], _REPLY, m, bucket, r["n"], None, pack_counts(total[mine]),
+                   np.packbits(owner[at:at + r["n"]]).tobytes(),
+                   pack(rank[mine[known[mine]]].astype(np.uint64)) if m < order else None)
+            at += r["n"]
+        real = total[known & ~start]
+        few = np.bincount(real[real <= MOST + 1], minlength=MOST + 2)
+        yield (-1, _MODEL, m, bucket, int(known.sum()), pack(uniq[known]), pack_counts(total[known]),
+               few.astype("<i8").tobytes(), np.array([real.sum(), len(real)], "<i8").tobytes())
+    return settle
+
+
+def _context_requests(bits: int, m: int, model):
+    """What a block adds to its contexts of n-grams of ``m`` words, by the n-grams it owns: the lower order's mass and
+    the number of each discounted count; and which weights it wants back."""
+    def work(block: int, x: Block, ids: list, answers: Answers) -> Iterator[pa.RecordBatch]:
         held = model.value
-        lower = 10 ** log_probabilities(x, held, answers, m - 1)
-        r, mine = answers[_REPLY, m]
-        first = x.grams(m)[1]
-        keys, context = x.contexts(m)
-        own = np.flatnonzero(mine)
-        at = context[first[own]]
-        sums = [np.bincount(at, weights=w, minlength=len(keys)) for w in (
-            r[own], r[own] - discounted(r[own], held.d[m]), lower[first[own]])]
-        rows = [(block, _SUMS, m, b, j - i, pack(keys[i:j]), *(s[i:j].tobytes() for s in sums))
-                for b, i, j in _bucket_slices(keys, bits)]
+        keys, context, r = x.grams(m - 1)[0], x.contexts(m), answers.counts(m)
+        place = x.grams(m)[1][:-1]
+        token = np.zeros(len(r), np.int64)
+        token[place] = np.arange(len(place))
+        own = np.flatnonzero(answers.owned(m))
+        at = context[token[own]]
+        lower = np.bincount(at, weights=seen_probability(x, held, answers, m - 1, token[own]), minlength=len(keys))
+        few = np.stack([np.bincount(at[r[own] == j], minlength=len(keys)) for j in range(1, MOST + 1)])
+        here, left = answers.asked(m)
+        where = answers.places(m - 1).astype(np.uint64)
+        rows = []
+        for b, i, j in _bucket_slices(keys, bits):
+            some = i + np.flatnonzero(here[i:j])
+            if len(some):
+                rows.append((block, _SUMS, m - 1, b, len(some), pack(where[some]), pack_shares(lower[some]),
+                             pack_counts(few[:, some].ravel()), np.packbits(left[some]).tobytes()))
         if rows:
             yield _batch(rows)
     return work
 
 
-def _settle_contexts(m: int, bucket: int, rows: list[dict]) -> Iterator[tuple]:
-    """Answers (denominator, 0 for a context never seen; backoff weight) and the model's part."""
-    keys = np.concatenate([unpack(r["keys"]) for r in rows])
-    uniq, place = np.unique(keys, return_inverse=True)
-    tokens, lost, lower = (np.bincount(place, weights=np.concatenate([np.frombuffer(r[c]) for r in rows]),
-                                       minlength=len(uniq)) for c in ("a", "b", "c"))
-    whole = np.where(tokens > 0, tokens + (lost <= 0), 0)
-    left = np.where(lost > 0, lost, 1.0) / np.maximum(whole, 1)
-    alpha = np.where(tokens > 0, left / np.maximum(1 - lower, 1e-12), 1.0)
-    at = 0
-    for r in rows:
-        mine = place[at:at + r["n"]]
-        yield (r["block"], _CONTEXT, m, bucket, r["n"], None, whole[mine].tobytes(), alpha[mine].tobytes(), None)
-        at += r["n"]
-    known = tokens > 0
-    yield (-1, _MODEL, m, bucket, int(known.sum()), pack(uniq[known]), whole[known].tobytes(), alpha[known].tobytes(), None)
-
-
-def log_probabilities(x: Block, model: Model, answers: dict, most: int) -> np.ndarray:
-    """log10 probability of every token, up to order ``most``."""
-    lp = np.log10(model.unigram(answers[_REPLY, 1][0])[x.grams(1)[2]])
-    for m in range(2, most + 1):
-        r = answers[_REPLY, m][0][x.grams(m)[2]]
-        context = x.contexts(m)[1]
-        whole, alpha = (v[context] for v in answers[_CONTEXT, m])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = np.log10(discounted(r, model.d[m]) / whole)
-            lp = np.where(r > 0, seen, np.where(whole > 0, np.log10(alpha), 0.0) + lp)
+def _settle_contexts(m: int, model):
+    """Answers (whether a denominator is one more than the count; the weights wanted) and the model's part."""
+    def settle(k: int, bucket: int, rows: list[dict]) -> Iterator[tuple]:
+        cost = np.arange(1, MOST + 1) * (1 - model.value.d[m][1:])
+        tokens = unpack_counts(rows[0]["a"], rows[0]["n"])  # the model's part has block -1 and comes first
+        lost, lower = np.zeros(len(tokens)), np.zeros(len(tokens))
+        for r in rows[1:]:
+            at = unpack(r["keys"]).astype(np.int64)
+            lower[at] += unpack_shares(r["a"])
+            lost[at] += cost @ unpack_counts(r["b"], MOST * r["n"]).reshape(MOST, -1)
+        more = lost <= 0
+        alpha = np.where(more, 1.0, lost) / (tokens + more) / np.maximum(1 - lower, 1e-12)
+        for r in rows[1:]:
+            at = unpack(r["keys"]).astype(np.int64)
+            yield (r["block"], _CONTEXT, k, bucket, r["n"], None, np.packbits(more[at]).tobytes(),
+                   alpha[at[_bits(r["c"], r["n"])]].tobytes(), None)
+        yield (-1, _MODEL, k, bucket, len(tokens), None, np.where(lower > 0, alpha, 1).astype("<f4").tobytes(), None, None)
+    return settle
+
+
+def seen_probability(x: Block, model: Model, answers: Answers, m: int, token: np.ndarray) -> np.ndarray:
+    """Probability, up to order ``m``, of tokens whose n-gram of ``m`` was seen in training."""
+    r = answers.counts(m)[x.grams(m)[1][token]]
+    if m == 1:
+        return model.unigram(r)
+    return discounted(r, model.d[m]) / answers.whole(m)[x.contexts(m)[token]]
+
+
+def log_probabilities(x: Block, model: Model, answers: Answers) -> np.ndarray:
+    """log10 probability of every token, order by order."""
+    lp = np.log10(model.unigram(answers.counts(1)[x.grams(1)[1][:-1]]))
+    for m in range(2, model.order + 1):
+        r, context = answers.counts(m)[x.grams(m)[1][:-1]], x.contexts(m)
+        seen = r > 0
+        lp += np.log10(answers.weights(m))[context]
+        lp[seen] = np.log10(discounted(r[seen], model.d[m]) / answers.whole(m)[context[seen]])
     return lp
 
 
-def _scores(order: int, model):
-    def work(block: int, x: Block, ids: list, answers: dict) -> Iterator[pa.RecordBatch]:
+def _scores(model):
+    def work(block: int, x: Block, ids: list, answers: Answers) -> Iterator[pa.RecordBatch]:
         held = model.value
-        c = answers[_REPLY, 1][0][x.grams(1)[2]]
+        c = answers.counts(1)[x.grams(1)[1][:-1]]
         base = np.log10((c + 0.1) / (held.tokens + 0.1 * (held.distinct + 1)))
-        lp = log_probabilities(x, held, answers, order)
+        lp = log_probabilities(x, held, answers)
         add = lambda w: np.bincount(x.row, weights=w, minlength=x.n)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(np.bincount(x.row, minlength=x.n)),
@@ -342,6 +453,8 @@ def _scores(order: int, model):
 def katz_scores(docs: DataFrame, folds: int = 10, order: int = ORDER, block_bytes: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Scores per row (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) and the model table.
 
+    The table has a row for each (ord, bucket): its n-grams' keys and counts, and their weights as contexts (32-bit floats).
+
     Rows with crc32(doc_id as text) mod ``folds`` = 0 are scored but not learned from.
     """
     spark = docs.sparkSession
@@ -354,33 +467,42 @@ def katz_scores(docs: DataFrame, folds: int = 10, order: int = ORDER, block_byte
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
         F.lit(_TEXT).alias("kind"), F.lit(0).alias("ord"), F.lit(0).alias("bucket"), F.lit(0).alias("n"),
         F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"),
-        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("keys"), null.alias("a"), null.alias("b"))
+        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("keys"), null.alias("a"), null.alias("b"), null.alias("c"))
 
     def with_texts(*answers: DataFrame) -> DataFrame:
         out = texts
         for x in answers:
             out = out.unionByName(x.select("block", "kind", "ord", "bucket", "n", F.lit(None).cast("long").alias("doc_id"),
-                                           F.lit(None).cast("boolean").alias("held"), null.alias("keys"), "a", "b"))
+                                           F.lit(None).cast("boolean").alias("held"), null.alias("keys"), "a", "b", "c"))
         return out
 
     parts = max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
     asked = _in_blocks(texts, parts, order, _count_requests(bits, order), _ROW)
-    counted = stage(_in_buckets(asked, order << bits, _settle_counts), "ngram-counts")
+    counted = stage(_in_buckets(asked, order << bits, _settle_counts(order)), "ngram-counts")
     of_count: dict[int, np.ndarray] = {}
-    tokens = distinct = 0
-    for r in counted.where(F.col("kind") == _MODEL).select("ord", "n", F.col("b"), F.col("c")).toLocalIterator():
+    tokens = distinct_tokens = 0
+    part = counted.where(F.col("kind") == _MODEL)
+    for r in part.select("ord", "b", "c").toLocalIterator():
         of_count[r["ord"]] = of_count.get(r["ord"], 0) + np.frombuffer(r["b"], "<i8")  # a few numbers per bucket
         if r["ord"] == 1:
-            tokens, distinct = tokens + int(np.frombuffer(r["c"], "<i8")[0]), distinct + r["n"]
-    model = spark.sparkContext.broadcast(Model(order, of_count, tokens, distinct))
+            tokens, distinct_tokens = np.frombuffer(r["c"], "<i8") + (tokens, distinct_tokens)
+    tokens = int(tokens)
+    model = spark.sparkContext.broadcast(Model(order, of_count, tokens, int(distinct_tokens)))
     replies = counted.where(F.col("kind") == _REPLY)
-    table = counted.where(F.col("kind") == _MODEL).select("ord", "bucket", "n", "keys", F.col("a").alias("counts"))
-    answers = [replies]
+    said: list[DataFrame] = []
+    weights = part.where("false").select("ord", "bucket", F.col("a").alias("weights"))
     for m in range(2, order + 1):
-        summed = _in_blocks(with_texts(*answers), parts, order, _context_requests(bits, order, m, model), _ROW)
-        settled = stage(_in_buckets(summed, 1 << bits, _settle_contexts), "contexts")
-        answers.append(settled.where(F.col("kind") == _CONTEXT))
-    scored = _in_blocks(with_texts(*answers), parts, order, _scores(order, model),
+        asked_of = replies.where(F.col("ord") <= m).withColumn("b", F.when(F.col("ord") == m, F.col("b"))).withColumn(
+            "c", F.when(F.col("ord") == m - 1, F.col("c")))
+        summed = _in_blocks(with_texts(asked_of, *said), parts, order, _context_requests(bits, m, model), _ROW)
+        own = part.where(F.col("ord") == m - 1).select(*[(null if c in ("keys", "b", "c") else F.col(c)).alias(c)
+                                                         for c in part.columns])
+        settled = stage(_in_buckets(summed.unionByName(own), 1 << bits, _settle_contexts(m, model)), "contexts")
+        said.append(settled.where(F.col("kind") == _CONTEXT))
+        weights = weights.unionByName(settled.where(F.col("kind") == _MODEL).select("ord", "bucket", F.col("a").alias("weights")))
+    table = part.select("ord", "bucket", "n", "keys", F.col("a").alias("counts")).join(weights, ["ord", "bucket"], "left")
+    counts = replies.withColumn("b", null).withColumn("c", null)
+    scored = _in_blocks(with_texts(counts, *said), parts, order, _scores(model),
                         "doc_id long, n_tokens long, n_known long, base_score double, score double")
     out = scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
                         "base_score", "score")

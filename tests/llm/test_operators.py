@@ -416,6 +416,28 @@ def test_katz_packing_of_keys():
     assert (katz.unpack_counts(katz.pack_counts(n), 5) == n).all()
 
 
+def test_katz_packing_of_shares():
+    x = np.random.default_rng(4).random(999)
+    assert np.allclose(katz.unpack_shares(katz.pack_shares(x)), x, rtol=0, atol=2.0 ** -41)
+    keys, place = katz.distinct(np.array([5, 3, 5, 9, 3], np.uint64))
+    assert keys.tolist() == [3, 5, 9] and place.tolist() == [1, 0, 1, 2, 0]
+
+
+def test_katz_model_table(spark):
+    """Each order's table holds its n-grams (and the start tokens as a context), counts and one weight per context."""
+    rows = [(1, "a b a"), (2, "a c"), (3, "b a b")]
+    table = katz.katz_scores(spark.createDataFrame(rows, "doc_id long, text string"), folds=1 << 30, order=3, block_bytes=4)[1].collect()
+    for m, held in ((1, {("a",): 4, ("b",): 3, ("c",): 1, ("</s>",): 3, ("<s>",): 3}),
+                    (3, {("<s>", "<s>", "a"): 2, ("<s>", "<s>", "b"): 1, ("<s>", "a", "b"): 1, ("<s>", "a", "c"): 1, ("<s>", "b", "a"): 1,
+                         ("a", "b", "a"): 1, ("b", "a", "</s>"): 1, ("a", "c", "</s>"): 1, ("b", "a", "b"): 1, ("a", "b", "</s>"): 1})):
+        mine = [r for r in table if r.ord == m]
+        keys = np.concatenate([katz.unpack(r.keys) for r in mine])
+        assert sorted(np.concatenate([katz.unpack_counts(r.counts, r.n) for r in mine])) == sorted(held.values())
+        assert len(np.unique(keys)) == len(keys) == len(held)
+        for r in mine:
+            assert r.weights is None if m == 3 else (np.frombuffer(r.weights, "<f4") > 0).all() and len(r.weights) == 4 * r.n
+
+
 def test_kth_largest(spark):
     rng = random.Random(1)
     values = [rng.choice([rng.random(), 0.25, -3.0, 1e9]) for _ in range(500)]
