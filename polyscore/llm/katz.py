@@ -355,7 +355,7 @@ def _settle_counts(order: int):
         owner[first[first >= 0]] = True
         start = uniq == start_key(m)
         owner[start[place]] = False
-        known = total > 0
+        known = (total > 0) & ~(start & (m == order))  # no context of the highest order
         rank = np.cumsum(known) - 1
         at = 0
         for r in rows:
