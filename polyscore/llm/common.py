@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     Cuts the lineage without relying on executor memory; the shuffle files of
@@ -46,7 +46,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         except Exception:  # the setting has another name in other Spark versions
             before.pop(key, None)
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -107,9 +107,19 @@ def start_key(m: int) -> np.uint64:
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the place of each key among them."""
-    order = np.argsort(keys)
+    """Sorted distinct keys (of ``KEY_BITS``) and the place of each key among them.
+
+    A key's upper bits and its index are sorted as one number, which is much faster than an
+    argsort; keys that agree in the upper bits only are put in order afterwards.
+    """
+    width = max(64 - KEY_BITS, len(keys).bit_length())
+    packed = (keys >> np.uint64(width + KEY_BITS - 64) << np.uint64(width)) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & np.uint64((1 << width) - 1)).astype(np.int64)
     ranked = keys[order]
+    if (ranked[1:] < ranked[:-1]).any():
+        order = order[np.argsort(ranked, kind="stable")]
+        ranked = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ranked[1:] != ranked[:-1]
     place = np.empty(len(keys), np.int64)
@@ -332,9 +342,9 @@ def _in_buckets(rows: DataFrame, parts: int, settle: Callable[[int, int, list[di
     return map_arrow(ready, run, _ROW)
 
 
-def _count_requests(bits: int, order: int):
+def _count_requests(bits: int, orders: list[int]):
     def work(block: int, x: Block, ids: list, answers: Answers) -> Iterator[pa.RecordBatch]:
-        for m in range(1, order + 1):
+        for m in orders:
             keys, n = x.grams(m)[0], x.counts(m)
             yield _batch([(block, _REPLY, m, b, j - i, pack(keys[i:j]), pack_counts(n[i:j]), None, None)
                           for b, i, j in _bucket_slices(keys, bits)])
@@ -372,8 +382,8 @@ def _settle_counts(order: int):
 
 
 def _context_requests(bits: int, m: int, model):
-    """What a block adds to its contexts of n-grams of ``m`` words, by the n-grams it owns: the lower order's mass and
-    the number of each discounted count; and which weights it wants back."""
+    """A block's contexts of n-grams of ``m`` words and which weights it wants back; for contexts of n-grams that it owns,
+    what these add: the lower order's mass and the number of each discounted count."""
     def work(block: int, x: Block, ids: list, answers: Answers) -> Iterator[pa.RecordBatch]:
         held = model.value
         keys, context, r = x.grams(m - 1)[0], x.contexts(m), answers.counts(m)
@@ -384,14 +394,18 @@ def _context_requests(bits: int, m: int, model):
         at = context[token[own]]
         lower = np.bincount(at, weights=seen_probability(x, held, answers, m - 1, token[own]), minlength=len(keys))
         few = np.stack([np.bincount(at[r[own] == j], minlength=len(keys)) for j in range(1, MOST + 1)])
+        adds = np.zeros(len(keys), bool)
+        adds[at] = True
         here, left = answers.asked(m)
         where = answers.places(m - 1).astype(np.uint64)
         rows = []
         for b, i, j in _bucket_slices(keys, bits):
             some = i + np.flatnonzero(here[i:j])
             if len(some):
-                rows.append((block, _SUMS, m - 1, b, len(some), pack(where[some]), pack_shares(lower[some]),
-                             pack_counts(few[:, some].ravel()), np.packbits(left[some]).tobytes()))
+                mine = some[adds[some]]
+                rows.append((block, _SUMS, m - 1, b, len(some), pack(where[some]), pack_shares(lower[mine]),
+                             pack_counts(few[:, mine].ravel()),
+                             np.packbits(adds[some]).tobytes() + np.packbits(left[some]).tobytes()))
         if rows:
             yield _batch(rows)
     return work
@@ -404,19 +418,25 @@ def _settle_contexts(m: int, model):
         tokens = unpack_counts(rows[0]["a"], rows[0]["n"])  # the model's part has block -1 and comes first
         lost, lower = np.zeros(len(tokens)), np.zeros(len(tokens))
         for r in rows[1:]:
-            at = unpack(r["keys"]).astype(np.int64)
+            at = unpack(r["keys"]).astype(np.int64)[_bits(r["c"], r["n"])]
             lower[at] += unpack_shares(r["a"])
-            lost[at] += cost @ unpack_counts(r["b"], MOST * r["n"]).reshape(MOST, -1)
+            lost[at] += cost @ unpack_counts(r["b"], MOST * len(at)).reshape(MOST, -1)
         more = lost <= 0
         alpha = np.where(more, 1.0, lost) / (tokens + more) / np.maximum(1 - lower, 1e-12)
         for r in rows[1:]:
             at = unpack(r["keys"]).astype(np.int64)
             yield (r["block"], _CONTEXT, k, bucket, r["n"], None, np.packbits(more[at]).tobytes(),
-                   alpha[at[_bits(r["c"], r["n"])]].tobytes(), None)
+                   alpha[at[_bits(r["c"][-(-r["n"] // 8):], r["n"])]].tobytes(), None)
         yield (-1, _MODEL, k, bucket, len(tokens), None, np.where(lower > 0, alpha, 1).astype("<f4").tobytes(), None, None)
     return settle
 
 
+def _settle(order: int, m: int, model):
+    """Contexts of n-grams of ``m`` words, and counts of the next order."""
+    contexts, counts = _settle_contexts(m, model), _settle_counts(order)
+    return lambda k, bucket, rows: (contexts if k == m - 1 else counts)(k, bucket, rows)
+
+
 def seen_probability(x: Block, model: Model, answers: Answers, m: int, token: np.ndarray) -> np.ndarray:
     """Probability, up to order ``m``, of tokens whose n-gram of ``m`` was seen in training."""
     r = answers.counts(m)[x.grams(m)[1][token]]
@@ -477,32 +497,50 @@ def katz_scores(docs: DataFrame, folds: int = 10, order: int = ORDER, block_byte
         return out
 
     parts = max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    asked = _in_blocks(texts, parts, order, _count_requests(bits, order), _ROW)
-    counted = stage(_in_buckets(asked, order << bits, _settle_counts(order)), "ngram-counts")
+    def broadcast(counted: DataFrame):
+        """The model's few numbers with those of newly counted orders, a few numbers per bucket."""
+        nonlocal tokens, words_known
+        for r in counted.where(F.col("kind") == _MODEL).select("ord", "b", "c").toLocalIterator():
+            if r["b"] is not None:
+                of_count[r["ord"]] = of_count.get(r["ord"], 0) + np.frombuffer(r["b"], "<i8")
+                if r["ord"] == 1:
+                    tokens, words_known = (int(v) for v in np.frombuffer(r["c"], "<i8") + (tokens, words_known))
+        return spark.sparkContext.broadcast(Model(order, of_count, tokens, words_known))
+
     of_count: dict[int, np.ndarray] = {}
-    tokens = distinct_tokens = 0
-    part = counted.where(F.col("kind") == _MODEL)
-    for r in part.select("ord", "b", "c").toLocalIterator():
-        of_count[r["ord"]] = of_count.get(r["ord"], 0) + np.frombuffer(r["b"], "<i8")  # a few numbers per bucket
-        if r["ord"] == 1:
-            tokens, distinct_tokens = np.frombuffer(r["c"], "<i8") + (tokens, distinct_tokens)
-    tokens = int(tokens)
-    model = spark.sparkContext.broadcast(Model(order, of_count, tokens, int(distinct_tokens)))
-    replies = counted.where(F.col("kind") == _REPLY)
-    said: list[DataFrame] = []
-    weights = part.where("false").select("ord", "bucket", F.col("a").alias("weights"))
-    for m in range(2, order + 1):
-        asked_of = replies.where(F.col("ord") <= m).withColumn("b", F.when(F.col("ord") == m, F.col("b"))).withColumn(
-            "c", F.when(F.col("ord") == m - 1, F.col("c")))
-        summed = _in_blocks(with_texts(asked_of, *said), parts, order, _context_requests(bits, m, model), _ROW)
-        own = part.where(F.col("ord") == m - 1).select(*[(null if c in ("keys", "b", "c") else F.col(c)).alias(c)
-                                                         for c in part.columns])
-        settled = stage(_in_buckets(summed.unionByName(own), 1 << bits, _settle_contexts(m, model)), "contexts")
-        said.append(settled.where(F.col("kind") == _CONTEXT))
-        weights = weights.unionByName(settled.where(F.col("kind") == _MODEL).select("ord", "bucket", F.col("a").alias("weights")))
-    table = part.select("ord", "bucket", "n", "keys", F.col("a").alias("counts")).join(weights, ["ord", "bucket"], "left")
-    counts = replies.withColumn("b", null).withColumn("c", null)
-    scored = _in_blocks(with_texts(counts, *said), parts, order, _scores(model),
+    tokens = words_known = 0
+    asked = _in_blocks(texts, parts, order, _count_requests(bits, list(range(1, min(order, 2) + 1))), _ROW)
+    settled = stage(_in_buckets(asked, 2 << bits, _settle_counts(order)), "ngrams", "zstd")
+    known, weighed = [settled], []
+    model = broadcast(settled)
+
+    def of(kind: int, m: int, source: list[DataFrame], keep: str = "abc") -> DataFrame:
+        """Rows of order ``m`` with the named cells; the keys aren't handed on."""
+        cells = [(F.col(c) if c in keep else null).alias(c) for c in ("keys", "a", "b", "c")]
+        return source[max(0, m - 2) if kind == _REPLY or source is known else m - 1].where(
+            (F.col("kind") == kind) & (F.col("ord") == m)).select("block", "kind", "ord", "bucket", "n", *cells)
+
+    for m in range(2, order + 1):  # weights of the contexts of m words' n-grams; counts of the next order
+        answers = [of(_REPLY, k, known, "ab" if k == m else "ac" if k == m - 1 else "a") for k in range(1, m + 1)]
+        answers += [of(_CONTEXT, k, weighed, "a") for k in range(1, m - 1)]
+        sums = _context_requests(bits, m, model)
+        more = _count_requests(bits, [m + 1] if m < order else [])
+        asked = _in_blocks(with_texts(*answers), parts, order, lambda *x, f=(sums, more): (y for g in f for y in g(*x)), _ROW)
+        settled = stage(_in_buckets(asked.unionByName(of(_MODEL, m - 1, known, "a")), 2 << bits, _settle(order, m, model)),
+                        "ngrams", "zstd")
+        weighed.append(settled)
+        if m < order:
+            known.append(settled)
+            model = broadcast(settled)
+    table = None
+    for m in range(1, order + 1):
+        part = of(_MODEL, m, known, "keys a").select("ord", "bucket", "n", "keys", F.col("a").alias("counts"))
+        held_by = of(_MODEL, m, weighed, "a").select("bucket", F.col("a").alias("weights")) if m < order else None
+        part = part.join(held_by, "bucket", "left").select("ord", "bucket", "n", "keys", "counts", "weights") if m < order \
+            else part.withColumn("weights", null)
+        table = part if table is None else table.unionByName(part)
+    answers = [of(_REPLY, m, known, "a") for m in range(1, order + 1)] + [of(_CONTEXT, m, weighed, "ab") for m in range(1, order)]
+    scored = _in_blocks(with_texts(*answers), parts, order, _scores(model),
                         "doc_id long, n_tokens long, n_known long, base_score double, score double")
     out = scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
                         "base_score", "score")

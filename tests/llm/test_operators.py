@@ -421,6 +421,12 @@ def test_katz_packing_of_shares():
     assert np.allclose(katz.unpack_shares(katz.pack_shares(x)), x, rtol=0, atol=2.0 ** -41)
     keys, place = katz.distinct(np.array([5, 3, 5, 9, 3], np.uint64))
     assert keys.tolist() == [3, 5, 9] and place.tolist() == [1, 0, 1, 2, 0]
+    given = np.random.default_rng(5).integers(0, 300, 3000).astype(np.uint64) * np.uint64((1 << 47) + 1) + np.uint64(7)
+    keys, place = katz.distinct(given)  # many keys that agree in their upper bits
+    assert (keys == np.unique(given)).all() and (keys[place] == given).all()
+    given = (np.random.default_rng(6).integers(0, 300, 3000)).astype(np.uint64)
+    keys, place = katz.distinct(given)
+    assert (keys == np.unique(given)).all() and (keys[place] == given).all()
 
 
 def test_katz_model_table(spark):
