@@ -24,7 +24,7 @@ seen was seen at every lower order too, so these sums need no weights, and only
 contexts that some text leaves for the lower order get their weight back. No table
 is joined to the tokens, a hot n-gram is one entry per block, and a task holds a
 block or a bucket at a time. An n-gram is named by a hash of ``KEY_BITS`` bits
-(about one pair in 400 million n-grams shares a name), and a block's share of a
+(about 18 pairs of 400 million n-grams share a name, 1 n-gram in 1,000 of 4 trillion), and a block's share of a
 context's sum is rounded to 2**-40.
 
 A null text is empty and scored as its end token. A null id is outside every
@@ -49,7 +49,7 @@ ORDER = 2
 MOST = 5
 #: Text bytes of a block.
 BLOCK = 16 << 20
-KEY_BITS = 56
+KEY_BITS = 52
 #: Bytes of a block's share of a context's sum, a fraction of 1.
 _SHARE = 5
 _LUT = space_lut(True)
@@ -59,6 +59,19 @@ _REPLY, _CONTEXT, _MODEL, _SUMS, _TEXT = 0, 1, 2, 3, 9
 _ROW = "block int, kind int, ord int, bucket int, n int, keys binary, a binary, b binary, c binary"
 
 
+_ZSTD = pa.Codec("zstd", compression_level=1)
+
+
+def squeeze(cell: bytes | None) -> bytes | None:
+    """A cell of requests, answers and tables as it is shuffled and stored: its length, then zstd."""
+    return None if cell is None else len(cell).to_bytes(8, "little") + (_ZSTD.compress(cell, asbytes=True) if cell else b"")
+
+
+def loosen(cell: bytes | None) -> bytes | None:
+    size = int.from_bytes(cell[:8], "little") if cell is not None else 0
+    return _ZSTD.decompress(cell[8:], size, asbytes=True) if size else None if cell is None else b""
+
+
 def pack(keys: np.ndarray) -> bytes:
     """Sorted distinct keys as the needed bytes of their differences."""
     if not len(keys):
@@ -280,6 +293,7 @@ def _bucket_slices(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     names = [c.split()[0] for c in _ROW.split(", ")]
     kinds = [pa.int32()] * 5 + [pa.binary()] * 4
+    rows = [(*r[:5], *map(squeeze, r[5:])) for r in rows]
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
 
@@ -310,7 +324,7 @@ def _in_blocks(rows: DataFrame, parts: int, order: int,
                 kind = part.column(1).to_numpy()
                 texts = int(np.searchsorted(kind, _TEXT))
                 for r in part.slice(0, texts).select(["kind", "ord", "n", "a", "b", "c"]).to_pylist():
-                    answers.setdefault((r["kind"], r["ord"]), []).append(r)
+                    answers.setdefault((r["kind"], r["ord"]), []).append(r | {c: loosen(r[c]) for c in "abc"})
                 part = part.slice(texts)
                 ids += part.column(5).to_pylist()
                 held += part.column(6).to_pylist()
@@ -335,7 +349,7 @@ def _in_buckets(rows: DataFrame, parts: int, settle: Callable[[int, int, list[di
                     if held:
                         yield _batch(list(settle(*now, held)))
                     now, held = (r["ord"], r["bucket"]), []
-                held.append(r)
+                held.append(r | {c: loosen(r[c]) for c in ("keys", "a", "b", "c")})
         if held:
             yield _batch(list(settle(*now, held)))
 
@@ -473,7 +487,8 @@ def _scores(model):
 def katz_scores(docs: DataFrame, folds: int = 10, order: int = ORDER, block_bytes: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Scores per row (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) and the model table.
 
-    The table has a row for each (ord, bucket): its n-grams' keys and counts, and their weights as contexts (32-bit floats).
+    The table has a row for each (ord, bucket): its n-grams' keys and counts, and their weights as contexts (32-bit floats),
+    each cell as ``squeeze`` makes it.
 
     Rows with crc32(doc_id as text) mod ``folds`` = 0 are scored but not learned from.
     """
@@ -502,9 +517,9 @@ def katz_scores(docs: DataFrame, folds: int = 10, order: int = ORDER, block_byte
         nonlocal tokens, words_known
         for r in counted.where(F.col("kind") == _MODEL).select("ord", "b", "c").toLocalIterator():
             if r["b"] is not None:
-                of_count[r["ord"]] = of_count.get(r["ord"], 0) + np.frombuffer(r["b"], "<i8")
+                of_count[r["ord"]] = of_count.get(r["ord"], 0) + np.frombuffer(loosen(r["b"]), "<i8")
                 if r["ord"] == 1:
-                    tokens, words_known = (int(v) for v in np.frombuffer(r["c"], "<i8") + (tokens, words_known))
+                    tokens, words_known = (int(v) for v in np.frombuffer(loosen(r["c"]), "<i8") + (tokens, words_known))
         return spark.sparkContext.broadcast(Model(order, of_count, tokens, words_known))
 
     of_count: dict[int, np.ndarray] = {}
