@@ -35,3 +35,14 @@ def test_scores_at_thresholds_in_any_order(study):
     want = {(u, c, name): sum((c - 7) * ((u + v) % 3) for v in range(4) if 0.3 / (1 + v) < t)
             for u in range(30) for c in range(20) for name, t in thresholds}
     assert got == want
+
+
+def test_phenotype_matrix_is_computed_by_blocks(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(fx, "MATRIX_ROWS", 40)
+    monkeypatch.setattr(fx, "MATRIX_COLUMNS", 3)
+    f = fx.Fixtures(spark, sf_small)
+    n, m = f.sample.count(), f.pheno.count()
+    got = f.phenotype
+    assert got.rdd.getNumPartitions() == -(-(-(-n // 40) * -(-m // 3)) // fx.MATRIX_BLOCKS) > 1
+    assert got.count() == n * m == got.select("user_id", "pid").distinct().count()
+    assert "inputs/phenotype" not in got._jdf.queryExecution().toString()
