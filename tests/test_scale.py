@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from polyscore.operators import blocked as bl
 from polyscore.operators import score as sc
 from polyscore.sources import fixtures as fx
 
@@ -46,3 +47,29 @@ def test_phenotype_matrix_is_computed_by_blocks(spark, sf_small, monkeypatch):
     assert got.rdd.getNumPartitions() == -(-(-(-n // 40) * -(-m // 3)) // fx.MATRIX_BLOCKS) > 1
     assert got.count() == n * m == got.select("user_id", "pid").distinct().count()
     assert "inputs/phenotype" not in got._jdf.queryExecution().toString()
+
+
+def test_a_tile_with_few_calls_is_short_and_scores_the_same(spark, study):
+    weights, dosage = study
+    dosage = dosage.where("user_id % 5 = vid")  # few calls
+    vix = spark.range(4).select(F.col("id").alias("vid"), F.col("id").alias("vidx"))
+    six = spark.range(30).select(F.col("id").alias("user_id"), F.col("id").alias("sidx"))
+    sizes = {"variant_block": 64, "sample_block": 64}
+    tiles = bl.genotype_tiles(dosage, vix, six, **sizes)
+    assert [len(r.cells) for r in tiles.collect()] == [5 * dosage.count()]
+    key = lambda df: sorted((r.user_id, r.pid, r.p_threshold_name, r.score) for r in df.collect())
+    assert key(bl.blocked_threshold_scores(weights, tiles, vix, column_block=16, **sizes)) == key(sc.threshold_scores(weights, dosage, ["pid"]))
+
+
+def test_weights_come_in_pieces_and_only_to_blocks_with_calls(spark, study, monkeypatch):
+    monkeypatch.setattr(bl, "WEIGHTS", 8)
+    weights, dosage = study
+    dosage = dosage.where("(user_id < 10) = (vid < 2)").where("user_id < 20")
+    vix = spark.range(4).select(F.col("id").alias("vid"), F.col("id").alias("vidx"))
+    six = spark.range(30).select(F.col("id").alias("user_id"), F.col("id").alias("sidx"))
+    sizes = {"variant_block": 2, "sample_block": 10}
+    tiles = bl.genotype_tiles(dosage, vix, six, **sizes)
+    got = bl.blocked_threshold_scores(weights, tiles, vix, column_block=32, **sizes)
+    key = lambda df: sorted((r.user_id, r.pid, r.p_threshold_name, r.score) for r in df.collect())
+    assert key(got) == key(sc.threshold_scores(weights, dosage, ["pid"]))
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == bl.BATCH
