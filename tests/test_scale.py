@@ -1,9 +1,11 @@
 """Steps whose size follows the rows that they make, not those that they read."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from polyscore.operators import blocked as bl
+from polyscore.operators import ld
 from polyscore.operators import score as sc
 from polyscore.sources import fixtures as fx
 
@@ -73,3 +75,20 @@ def test_weights_come_in_pieces_and_only_to_blocks_with_calls(spark, study, monk
     key = lambda df: sorted((r.user_id, r.pid, r.p_threshold_name, r.score) for r in df.collect())
     assert key(got) == key(sc.threshold_scores(weights, dosage, ["pid"]))
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == bl.BATCH
+
+
+def test_ld_planes_with_few_calls_are_lists(spark):
+    calls = [(s, 1, 1.0 + s % 2) for s in range(0, 2000, 400)] + [(s, 2, 1.0) for s in range(2000)]
+    dosage = spark.createDataFrame(calls, "user_id long, vid long, dosage double")
+    panel = spark.range(2000).select(F.lit("all").alias("panel"), F.col("id").alias("user_id"))
+    variants = spark.createDataFrame([(1, "1", 10), (2, "1", 20)], "vid long, chrom string, pos int")
+    index = ld.sample_index(panel)
+    rows = {r.vid: (len(r.one), len(r.two)) for r in ld.bit_planes(dosage, index, variants, 2000).collect()}
+    assert rows == {1: (20, 0), 2: (2048 // 8, 0)}
+    g = np.zeros((2, 2000))
+    for s, v, x in calls:
+        g[v - 1, s] = x
+    g[1, 5:900] = 0
+    half = dosage.where("not (vid = 2 and user_id between 5 and 899)")
+    got = ld.panels_ld_pairs(half, panel, variants, r2_min=0.0).collect()
+    assert [(r.vid_a, r.vid_b) for r in got] == [(1, 2)] and abs(got[0].r2 - np.corrcoef(g)[0, 1] ** 2) < 1e-12
