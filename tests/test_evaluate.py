@@ -86,3 +86,28 @@ def test_share_of_small_pvalues(spark, tables, moments):
     # phenotype 1 isn't heritable and phenotype 3 has no correlation
     assert [(r["n"], r["share_below"]) for r in rows] == [(2, 1.0)] * 2
     assert not ev.holdout_pvalues(corr, phenos, h2, pop="EUR").collect()
+
+
+def test_cells_of_the_matrix_are_joined_where_they_are_made(spark, sf_small, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from polyscore.operators.matrix import join_by_block
+    from polyscore.operators.score import threshold_score_lists, threshold_scores
+    from polyscore.sources import fixtures as fx
+    monkeypatch.setattr(fx, "MATRIX_ROWS", 40)
+    monkeypatch.setattr(fx, "MATRIX_COLUMNS", 3)
+    f = fx.Fixtures(spark, sf_small)
+    w = f.min_stat.withColumn("clump_pops_str", F.lit("EUR"))
+    columns, keys = w.select("pid", "clump_pops_str"), ["pid", "clump_pops_str"]
+    samples = f.sample.unionByName(f.sample.where("user_id < 4"))  # some come twice
+    plain = threshold_scores(w, f.dosage, keys), f.phenotype, columns, samples
+    join_by_block(spark)
+    blocked = threshold_score_lists(w, f.dosage, keys, f.blocks), f.phenotype_blocks, columns, samples
+    for of in (ev.score_moments, ev.assessment_table):
+        got = of(*blocked, blocks=f.blocks)
+        names = sorted(c for c in got.columns if c != "p_threshold_name")
+        key = lambda df: sorted((str(r) for r in df.select(*names).collect()))  # noqa: E731, B023
+        assert key(got) == key(of(*plain))
+    moved = blocked[1].join(blocked[0].hint("shuffle_hash"), ["block", "user_id", "pid"])
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert "ENSURE_REQUIREMENTS" not in plan[:plan.index("REPARTITION_BY_NUM")]
