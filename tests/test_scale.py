@@ -92,3 +92,30 @@ def test_ld_planes_with_few_calls_are_lists(spark):
     half = dosage.where("not (vid = 2 and user_id between 5 and 899)")
     got = ld.panels_ld_pairs(half, panel, variants, r2_min=0.0).collect()
     assert [(r.vid_a, r.vid_b) for r in got] == [(1, 2)] and abs(got[0].r2 - np.corrcoef(g)[0, 1] ** 2) < 1e-12
+
+
+@pytest.mark.parametrize("of", [sc.score, sc.threshold_score_arrays, sc.cumulative_threshold_scores])
+def test_the_join_of_products_is_dealt_by_their_number(study, monkeypatch, of):
+    monkeypatch.setattr(sc, "PRODUCTS", 300)
+    plan = of(*study, ["pid"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [vid") == 2 and ", 8" in plan[plan.index("RepartitionByExpression [vid"):]
+
+
+def test_bucket_sums_run_on_without_a_window(study):
+    weights, dosage = study
+    got = sc.cumulative_threshold_scores(weights, dosage, ["pid"])
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    key = lambda df: sorted((r.user_id, r.pid, r.p_threshold_name, r.score) for r in df.collect())
+    assert key(got) == key(sc.threshold_scores(weights, dosage, ["pid"]))
+
+
+def test_products_carry_the_number_of_a_population_set(study):
+    from polyscore.plans import prs
+    weights, dosage = study
+    weights = weights.withColumn("clump_pops_str", F.when(F.col("pid") % 2 == 0, "AFR,EUR").otherwise("MID"))
+    got = prs.prs_scores(weights, dosage)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    dealt = plan[plan.index("RepartitionByExpression [user_id"):].splitlines()[0]
+    assert "_set" in dealt and "clump_pops_str" not in dealt
+    key = lambda df: sorted((r.user_id, r.pid, r.clump_pops_str, r.p_threshold_name, r.score) for r in df.collect())
+    assert key(got) == key(sc.threshold_scores(weights, dosage, ["pid", "clump_pops_str"]))
