@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from polyscore.operators.deal import tasks_for
+
 
 def interval_bin_join(points: DataFrame, intervals: DataFrame, *, chrom: str = "chrom", pos: str = "pos",
                       start: str = "start_pos", end: str = "end_pos", bin_size: int = 100_000,
@@ -47,18 +49,23 @@ def unordered_allele_key(a: str, b: str):
 def zip_join(tables: Sequence[DataFrame], keys: Sequence[str], value: str = "value", out: str = "values") -> DataFrame:
     """Multi-way outer zip join: one row per key with an N-array, null where a table lacks the key.
 
-    All inputs are tagged with their position and unioned, then grouped on
-    the key once: a single shuffle instead of N-1 pairwise outer joins.
-    The array per key is bounded by N.
+    All inputs are tagged with their position and unioned, then dealt by the
+    key to as many tasks as their rows fill and grouped there: a single shuffle
+    instead of N-1 pairwise outer joins.  A table with a key twice is refused.
     """
     n = len(tables)
     tagged = None
     for i, t in enumerate(tables):
         ti = t.select(*keys, F.lit(i).alias("_src"), F.col(value).alias("_v"))
         tagged = ti if tagged is None else tagged.unionByName(ti)
-    g = tagged.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_src", "_v"))).alias("_m"))
-    return g.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                                       lambda i: F.try_element_at(F.col("_m"), i)).alias(out))
+    tasks = tasks_for(tagged.sparkSession, tagged.count())
+    of = [F.col("_src") == i for i in range(n)]
+    g = tagged.repartition(tasks, *keys).groupBy(*keys).agg(
+        *[F.first(F.when(s, F.col("_v")), ignorenulls=True).alias(f"_v{i}") for i, s in enumerate(of)],
+        *[F.count(F.when(s, 1)).alias(f"_n{i}") for i, s in enumerate(of)])
+    twice = F.array_max(F.array(*[F.col(f"_n{i}") for i in range(n)])) > 1
+    values = F.array(*[F.col(f"_v{i}") for i in range(n)])
+    return g.select(*keys, F.when(twice, F.raise_error(F.lit("zip_join: a table has a key twice"))).otherwise(values).alias(out))
 
 
 def union_cols_inner(a: DataFrame, b: DataFrame, row_key: Sequence[str]) -> DataFrame:
