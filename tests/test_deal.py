@@ -57,3 +57,34 @@ def test_wide_rows_travel_as_numbers(spark, sf_small):
     fx = Fixtures(spark, sf_small)
     plan = _plan(wide_export(fx.sumstats, fx.meta, fx.pheno, fx.own_pops, fx.variant, category="quant"))
     assert "format_string" not in plan[plan.index("Join"):]
+
+
+def test_clump_text_is_dealt_by_rows_and_its_blank_lines_stay_blank(spark, sf_small, monkeypatch):
+    from polyscore.queries.q_basic import _clump_text_rows
+    from polyscore.sources.fixtures import Fixtures
+    monkeypatch.setattr(deal, "TASK_ROWS", 1000)
+    fx = Fixtures(spark, sf_small)
+    rows = _clump_text_rows(fx)
+    assert rows.rdd.getNumPartitions() == fx.tasks > 4
+    blank = rows.where("trim(contig) = ''")
+    assert blank.count() == 2 * fx.pheno.count()
+    assert blank.dropna(how="all", subset=[c for c in rows.columns if c not in ("pid", "contig")]).count() == 0
+
+
+def test_contig_files_follow_the_rows_not_the_text_files(spark, sf_small):
+    from polyscore.queries.q_basic import clump_concat
+    from polyscore.sources.fixtures import Fixtures
+    files = clump_concat(spark, sf_small).inputFiles()
+    assert len(files) <= 22 + Fixtures(spark, sf_small).tasks
+
+
+def test_columns_of_an_external_study_need_no_annotated_rows(spark, tmp_path):
+    from polyscore.plans.ingest import external_results
+    (spark.sql("SELECT '1' AS `#chrom`, 5 AS pos, 'A' AS ref, 'C' AS alt, 1e-1 AS pval, 'rs1' AS rsids, '' AS nearest_genes, k AS phenocode "
+               "FROM VALUES ('x'), ('y') t(k)").write.partitionBy("phenocode").option("sep", "\t").option("header", True).csv(f"{tmp_path}/f"))
+    man = spark.sql("SELECT k AS phenocode, 'c' AS category, k AS name, 1 AS n_cases, 2 AS n_controls FROM VALUES ('x'), ('x'), ('y'), ('z') t(k)")
+    vep = spark.sql("SELECT '1' AS chrom, 5 AS pos, 'A' AS ref, 'C' AS alt, 'G' AS gene, 'm' AS annotation")
+    rows, cols, entries = external_results(spark, f"{tmp_path}/f", man, vep)
+    assert sorted(tuple(r) for r in cols.collect()) == [("x", "c", "x", 1, 2), ("y", "c", "y", 1, 2)]
+    assert "pos" not in _plan(cols)
+    assert rows.count() == 1 and entries.count() == 3
