@@ -52,6 +52,10 @@ BLOCK = 16 << 20
 KEY_BITS = 52
 #: Bytes of a block's share of a context's sum, a fraction of 1.
 _SHARE = 5
+#: Tokens that a step over a block's tokens computes at once, and cell bytes of a batch handed to Spark.
+PIECE, CELLS = 1 << 18, 1 << 20
+#: Text bytes that are sorted by block at once, and that words are looked for in at once.
+DEALT, READ = 8 << 20, 2 << 20
 _LUT = space_lut(True)
 _START, _END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 _COEF = mix(np.arange(101, 133, dtype=np.uint64)) | np.uint64(1)
@@ -107,11 +111,15 @@ def unpack_counts(raw: bytes, size: int) -> np.ndarray:
 
 def gram_keys(tokens: np.ndarray, last: np.ndarray, m: int) -> np.ndarray:
     """Keys of the runs of ``m`` tokens that end at ``last``."""
+    out = np.empty(len(last), np.uint64)
     with np.errstate(over="ignore"):
-        h = np.full(len(last), m, np.uint64)
-        for j in range(m):
-            h += tokens[last - j] * _COEF[m - 1 - j]
-        return mix(h) >> np.uint64(64 - KEY_BITS)
+        for i in range(0, len(last), PIECE):
+            part = last[i:i + PIECE]
+            h = np.full(len(part), m, np.uint64)
+            for j in range(m):
+                h += tokens[part - j] * _COEF[m - 1 - j]
+            out[i:i + PIECE] = mix(h) >> np.uint64(64 - KEY_BITS)
+    return out
 
 
 def start_key(m: int) -> np.uint64:
@@ -126,17 +134,27 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     argsort; keys that agree in the upper bits only are put in order afterwards.
     """
     width = max(64 - KEY_BITS, len(keys).bit_length())
-    packed = (keys >> np.uint64(width + KEY_BITS - 64) << np.uint64(width)) | np.arange(len(keys), dtype=np.uint64)
+    cut = np.uint64(width + KEY_BITS - 64)
+    packed = keys >> cut
+    packed <<= np.uint64(width)
+    packed |= np.arange(len(keys), dtype=np.uint64)
     packed.sort()
-    order = (packed & np.uint64((1 << width) - 1)).astype(np.int64)
+    packed &= np.uint64((1 << width) - 1)
+    order = packed.view(np.int64)
     ranked = keys[order]
-    if (ranked[1:] < ranked[:-1]).any():
-        order = order[np.argsort(ranked, kind="stable")]
-        ranked = keys[order]
+    wrong = np.unique(ranked[np.flatnonzero(ranked[1:] < ranked[:-1])] >> cut)
+    if len(wrong):  # keys outside such a run are in order, so its ends are found by bisection
+        ends = np.searchsorted(ranked, np.stack([wrong, wrong + np.uint64(1)]) << cut)
+        for a, b in ends.T.tolist():
+            order[a:b] = order[a:b][np.argsort(ranked[a:b], kind="stable")]
+            ranked[a:b] = keys[order[a:b]]
+        if (ranked[1:] < ranked[:-1]).any():  # keys of more bits
+            order = order[np.argsort(ranked, kind="stable")]
+            ranked = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ranked[1:] != ranked[:-1]
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.cumsum(new) - 1
+    place = np.empty(len(keys), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
     return ranked[new], place
 
 
@@ -194,18 +212,22 @@ class Block:
 
     def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]], held: np.ndarray, order: int):
         count = np.concatenate([c for _, c in parts])
-        h = np.concatenate([x for x, _ in parts])
         size = count + order
         begin = np.cumsum(size) - size
         self.tokens = np.full(int(size.sum()), _START, np.uint64)
-        row = np.repeat(np.arange(len(count)), count)
-        self.tokens[np.arange(len(h)) + row * order + order - 1] = h
-        self.tokens[begin + size - 1] = _END
         predicted = np.ones(len(self.tokens), bool)
         for j in range(order - 1):
             predicted[begin + j] = False
-        self.last = np.flatnonzero(predicted)
-        self.row = np.repeat(np.arange(len(count)), count + 1)
+        predicted[begin + size - 1] = False
+        at = 0
+        for h, c in parts:
+            to = at + int(c.sum()) + order * len(c)
+            self.tokens[at:to][predicted[at:to]] = h
+            at = to
+        self.tokens[begin + size - 1] = _END
+        predicted[begin + size - 1] = True
+        self.last = np.flatnonzero(predicted).astype(np.int32)
+        self.row = np.repeat(np.arange(len(count), dtype=np.int32), count + 1)
         self.first = np.cumsum(count + 1) - count - 1
         self.n, self.order = len(count), order
         self.train, self.train_texts = ~held[self.row], int((~held).sum())
@@ -214,8 +236,7 @@ class Block:
     def grams(self, m: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct keys, and the place among them of every token's n-gram and (last) of the start tokens."""
         if m not in self._known:
-            keys, place = distinct(np.append(gram_keys(self.tokens, self.last, m), start_key(m)))
-            self._known[m] = keys, place.astype(np.int32)
+            self._known[m] = distinct(np.append(gram_keys(self.tokens, self.last, m), start_key(m)))
         return self._known[m]
 
     def counts(self, m: int) -> np.ndarray:
@@ -246,7 +267,7 @@ class Answers:
 
     def counts(self, m: int) -> np.ndarray:
         if m not in self._counts:
-            self._counts[m] = self._join(_REPLY, m, lambda r: unpack_counts(r["a"], r["n"]), np.int64)
+            self._counts[m] = self._join(_REPLY, m, lambda r: _short(unpack_counts(r["a"], r["n"])), np.int32)
         return self._counts[m]
 
     def owned(self, m: int) -> np.ndarray:
@@ -279,6 +300,11 @@ class Answers:
         return out
 
 
+def _short(n: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits where these, and one more, fit."""
+    return n.astype(np.int32) if not len(n) or n.max() < 2 ** 31 - 1 else n
+
+
 def _bits(raw: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
 
@@ -297,15 +323,60 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
 
 
+def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about ``CELLS`` bytes, so that neither side holds all that a block or bucket says."""
+    now, size = [], 0
+    for r in rows:
+        now.append(r)
+        size += sum(len(c) for c in r[5:] if c is not None)
+        if size >= CELLS:
+            yield _batch(now)
+            now, size = [], 0
+    if now:
+        yield _batch(now)
+
+
+def _deal(texts: DataFrame) -> DataFrame:
+    """Texts (block, doc_id, held, text) as they are shuffled: a row for the texts of a block in a part of a batch.
+
+    Its cells are the texts, their lengths, ids and flags (1: held out, 2: without an id).
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, DEALT):
+                block = piece.column(0).to_numpy()
+                order = np.argsort(block, kind="stable")
+                block, piece = block[order], piece.take(pa.array(order))
+                data, off = buffers(piece.column(3))
+                ids = piece.column(1).fill_null(0).to_numpy().astype("<i8")
+                flags = piece.column(2).to_numpy(zero_copy_only=False).astype(np.uint8) | (
+                    piece.column(1).is_null().to_numpy(zero_copy_only=False).astype(np.uint8) << 1)
+                cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)])).tolist()
+                yield from _batches((int(block[a]), _TEXT, 0, 0, b - a, data[off[a]:off[b]].tobytes(), np.diff(off[a:b + 1]).astype("<i8").tobytes(),
+                                     ids[a:b].tobytes(), flags[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:]))
+
+    return map_arrow(texts, run, _ROW)
+
+
+def _words(cells: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of the cells' texts and the number of words of each text."""
+    off = np.concatenate([[0], *(np.frombuffer(r["a"], "<i8") for r in cells)]).cumsum()
+    h, s, _ = words(np.frombuffer(b"".join(r["keys"] for r in cells), np.uint8), off, _LUT)
+    return h, np.bincount(row_of(s, off), minlength=len(off) - 1)
+
+
 def _in_blocks(rows: DataFrame, parts: int, order: int,
                work: Callable[[int, Block, list, Answers], Iterator], schema: str) -> DataFrame:
     """``work`` on each block's texts and the answers it got (which come first in a block)."""
     ready = rows.repartition(parts, "block").sortWithinPartitions("block", "kind", "ord", "bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, answers, parts, ids, held = None, {}, [], [], []
+        now, answers, parts, ids, held, cells, waiting = None, {}, [], [], [], [], 0
 
         def finish() -> Iterator[pa.RecordBatch]:
+            if cells:
+                parts.append(_words(cells))
+                cells.clear()
             if parts:
                 mine = Block(parts, np.array(held, bool), order)
                 parts.clear()
@@ -325,13 +396,17 @@ def _in_blocks(rows: DataFrame, parts: int, order: int,
                 texts = int(np.searchsorted(kind, _TEXT))
                 for r in part.slice(0, texts).select(["kind", "ord", "n", "a", "b", "c"]).to_pylist():
                     answers.setdefault((r["kind"], r["ord"]), []).append(r | {c: loosen(r[c]) for c in "abc"})
-                part = part.slice(texts)
-                ids += part.column(5).to_pylist()
-                held += part.column(6).to_pylist()
-                for piece in slices(part.select(["keys"]).rename_columns(["text"])):
-                    data, off = buffers(piece.column(0))
-                    h, s, _ = words(data, off, _LUT)
-                    parts.append((h, np.bincount(row_of(s, off), minlength=piece.num_rows)))
+                for i in range(texts, part.num_rows):
+                    r = part.slice(i, 1).select(["keys", "a", "b", "c"]).to_pylist()[0]
+                    cells.append({c: loosen(x) for c, x in r.items()})
+                    flags = np.frombuffer(cells[-1]["c"], np.uint8).tolist()
+                    ids += [None if f & 2 else x for f, x in zip(flags, np.frombuffer(cells[-1]["b"], "<i8").tolist())]
+                    held += [bool(f & 1) for f in flags]
+                    waiting += len(cells[-1]["keys"])
+                    if waiting >= READ:
+                        parts.append(_words(cells))
+                        cells.clear()
+                        waiting = 0
         yield from finish()
 
     return map_arrow(ready, run, schema)
@@ -347,11 +422,11 @@ def _in_buckets(rows: DataFrame, parts: int, settle: Callable[[int, int, list[di
             for r in batch.to_pylist():
                 if (r["ord"], r["bucket"]) != now:
                     if held:
-                        yield _batch(list(settle(*now, held)))
+                        yield from _batches(settle(*now, held))
                     now, held = (r["ord"], r["bucket"]), []
                 held.append(r | {c: loosen(r[c]) for c in ("keys", "a", "b", "c")})
         if held:
-            yield _batch(list(settle(*now, held)))
+            yield from _batches(settle(*now, held))
 
     return map_arrow(ready, run, _ROW)
 
@@ -360,8 +435,8 @@ def _count_requests(bits: int, orders: list[int]):
     def work(block: int, x: Block, ids: list, answers: Answers) -> Iterator[pa.RecordBatch]:
         for m in orders:
             keys, n = x.grams(m)[0], x.counts(m)
-            yield _batch([(block, _REPLY, m, b, j - i, pack(keys[i:j]), pack_counts(n[i:j]), None, None)
-                          for b, i, j in _bucket_slices(keys, bits)])
+            yield from _batches((block, _REPLY, m, b, j - i, pack(keys[i:j]), pack_counts(n[i:j]), None, None)
+                                for b, i, j in _bucket_slices(keys, bits))
     return work
 
 
@@ -402,26 +477,30 @@ def _context_requests(bits: int, m: int, model):
         held = model.value
         keys, context, r = x.grams(m - 1)[0], x.contexts(m), answers.counts(m)
         place = x.grams(m)[1][:-1]
-        token = np.zeros(len(r), np.int64)
-        token[place] = np.arange(len(place))
+        token = np.zeros(len(r), np.int32)
+        token[place] = np.arange(len(place), dtype=np.int32)
         own = np.flatnonzero(answers.owned(m))
-        at = context[token[own]]
-        lower = np.bincount(at, weights=seen_probability(x, held, answers, m - 1, token[own]), minlength=len(keys))
-        few = np.stack([np.bincount(at[r[own] == j], minlength=len(keys)) for j in range(1, MOST + 1)])
+        token, r = token[own], r[own]
+        at = context[token]
+        del own
+        lower = np.bincount(at, weights=seen_probability(x, held, answers, m - 1, token), minlength=len(keys))
+        del token
+        few = [np.bincount(at[r == j], minlength=len(keys)).astype(np.int32) for j in range(1, MOST + 1)]
         adds = np.zeros(len(keys), bool)
         adds[at] = True
         here, left = answers.asked(m)
         where = answers.places(m - 1).astype(np.uint64)
-        rows = []
-        for b, i, j in _bucket_slices(keys, bits):
-            some = i + np.flatnonzero(here[i:j])
-            if len(some):
-                mine = some[adds[some]]
-                rows.append((block, _SUMS, m - 1, b, len(some), pack(where[some]), pack_shares(lower[mine]),
-                             pack_counts(few[:, mine].ravel()),
-                             np.packbits(adds[some]).tobytes() + np.packbits(left[some]).tobytes()))
-        if rows:
-            yield _batch(rows)
+
+        def rows() -> Iterator[tuple]:
+            for b, i, j in _bucket_slices(keys, bits):
+                some = i + np.flatnonzero(here[i:j])
+                if len(some):
+                    mine = some[adds[some]]
+                    yield (block, _SUMS, m - 1, b, len(some), pack(where[some]), pack_shares(lower[mine]),
+                           pack_counts(np.concatenate([n[mine] for n in few])),
+                           np.packbits(adds[some]).tobytes() + np.packbits(left[some]).tobytes())
+
+        yield from _batches(rows())
     return work
 
 
@@ -453,33 +532,41 @@ def _settle(order: int, m: int, model):
 
 def seen_probability(x: Block, model: Model, answers: Answers, m: int, token: np.ndarray) -> np.ndarray:
     """Probability, up to order ``m``, of tokens whose n-gram of ``m`` was seen in training."""
-    r = answers.counts(m)[x.grams(m)[1][token]]
+    counts, place = answers.counts(m), x.grams(m)[1]
     if m == 1:
-        return model.unigram(r)
-    return discounted(r, model.d[m]) / answers.whole(m)[x.contexts(m)[token]]
+        return model.unigram(counts)[place[token]]
+    whole, contexts, out = answers.whole(m), x.contexts(m), np.empty(len(token))
+    for i in range(0, len(token), PIECE):
+        part = token[i:i + PIECE]
+        out[i:i + PIECE] = discounted(counts[place[part]], model.d[m]) / whole[contexts[part]]
+    return out
 
 
 def log_probabilities(x: Block, model: Model, answers: Answers) -> np.ndarray:
     """log10 probability of every token, order by order."""
-    lp = np.log10(model.unigram(answers.counts(1)[x.grams(1)[1][:-1]]))
+    lp = np.log10(model.unigram(answers.counts(1)))[x.grams(1)[1][:-1]]
     for m in range(2, model.order + 1):
-        r, context = answers.counts(m)[x.grams(m)[1][:-1]], x.contexts(m)
-        seen = r > 0
-        lp += np.log10(answers.weights(m))[context]
-        lp[seen] = np.log10(discounted(r[seen], model.d[m]) / answers.whole(m)[context[seen]])
+        counts, place, contexts = answers.counts(m), x.grams(m)[1][:-1], x.contexts(m)
+        weight, whole = np.log10(answers.weights(m)), answers.whole(m)
+        for i in range(0, len(lp), PIECE):
+            part, r, context = lp[i:i + PIECE], counts[place[i:i + PIECE]], contexts[i:i + PIECE]
+            seen = r > 0
+            part += weight[context]
+            part[seen] = np.log10(discounted(r[seen], model.d[m]) / whole[context[seen]])
     return lp
 
 
 def _scores(model):
     def work(block: int, x: Block, ids: list, answers: Answers) -> Iterator[pa.RecordBatch]:
         held = model.value
-        c = answers.counts(1)[x.grams(1)[1][:-1]]
-        base = np.log10((c + 0.1) / (held.tokens + 0.1 * (held.distinct + 1)))
-        lp = log_probabilities(x, held, answers)
+        c, place = answers.counts(1), x.grams(1)[1][:-1]
         add = lambda w: np.bincount(x.row, weights=w, minlength=x.n)
+        base = add(np.log10((c + 0.1) / (held.tokens + 0.1 * (held.distinct + 1)))[place])
+        known = np.bincount(x.row[(c > 0)[place]], minlength=x.n)
+        lp = add(log_probabilities(x, held, answers))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(np.bincount(x.row, minlength=x.n)),
-             pa.array(np.bincount(x.row[c > 0], minlength=x.n)), pa.array(add(base)), pa.array(add(lp))],
+             pa.array(known), pa.array(base), pa.array(lp)],
             ["doc_id", "n_tokens", "n_known", "base_score", "score"])
     return work
 
@@ -498,17 +585,15 @@ def katz_scores(docs: DataFrame, folds: int = 10, order: int = ORDER, block_byte
     bits = max(1, math.ceil(math.log2(blocks)) if blocks > 1 else 1)
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == 0, F.lit(False))
     null = F.lit(None).cast("binary")
-    texts = docs.select(
+    texts = _deal(docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
-        F.lit(_TEXT).alias("kind"), F.lit(0).alias("ord"), F.lit(0).alias("bucket"), F.lit(0).alias("n"),
         F.col("doc_id").cast("long").alias("doc_id"), held.alias("held"),
-        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("keys"), null.alias("a"), null.alias("b"), null.alias("c"))
+        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")))
 
     def with_texts(*answers: DataFrame) -> DataFrame:
         out = texts
         for x in answers:
-            out = out.unionByName(x.select("block", "kind", "ord", "bucket", "n", F.lit(None).cast("long").alias("doc_id"),
-                                           F.lit(None).cast("boolean").alias("held"), null.alias("keys"), "a", "b", "c"))
+            out = out.unionByName(x)
         return out
 
     parts = max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))

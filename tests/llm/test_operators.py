@@ -430,6 +430,32 @@ def test_katz_packing_of_shares():
     assert (keys == np.unique(given)).all() and (keys[place] == given).all()
 
 
+def test_katz_memory_of_a_block():
+    """A token costs a task at most 75 bytes while n-grams are asked for."""
+    import tracemalloc
+    h = np.random.default_rng(7).integers(0, 1 << 62, 1_000_000).astype(np.uint64)
+    tracemalloc.start()
+    try:
+        block = katz.Block([(h, np.full(1000, 1000))], np.arange(1000) % 10 == 0, 3)
+        asked = sum(b.num_rows for b in katz._count_requests(4, [1, 2])(0, block, [], None))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert asked == 32 and peak < 75 * len(block.tokens)
+
+
+def test_katz_texts_are_shuffled_by_block_and_compressed(spark):
+    rows = [(i % 2, i if i else None, i % 3 == 0, b"some text like others " * (i % 5)) for i in range(400)]
+    dealt = katz._deal(spark.createDataFrame(rows, "block int, doc_id long, held boolean, text binary").coalesce(1)).collect()
+    assert [(r.block, r.kind, r.n) for r in dealt] == [(0, katz._TEXT, 200), (1, katz._TEXT, 200)]
+    assert sum(len(r["keys"]) for r in dealt) * 10 < sum(len(r[3]) for r in rows)
+    for r in dealt:
+        off = np.concatenate([[0], np.frombuffer(katz.loosen(r.a), "<i8")]).cumsum().tolist()
+        texts = [bytes(katz.loosen(r["keys"]))[i:j] for i, j in zip(off, off[1:])]
+        got = zip(np.frombuffer(katz.loosen(r.b), "<i8").tolist(), np.frombuffer(katz.loosen(r.c), np.uint8).tolist(), texts)
+        assert list(got) == [(i or 0, int(h) + 2 * (i is None), x) for b, i, h, x in rows if b == r.block]
+
+
 def test_katz_model_table(spark):
     """Each order's table holds its n-grams (and the start tokens as a context), counts and one weight per context."""
     rows = [(1, "a b a"), (2, "a c"), (3, "b a b")]
