@@ -88,3 +88,51 @@ def test_columns_of_an_external_study_need_no_annotated_rows(spark, tmp_path):
     assert sorted(tuple(r) for r in cols.collect()) == [("x", "c", "x", 1, 2), ("y", "c", "y", 1, 2)]
     assert "pos" not in _plan(cols)
     assert rows.count() == 1 and entries.count() == 3
+
+
+def test_wide_rows_and_their_meta_analysis_are_shuffled_once_by_variant(spark, sf_small, monkeypatch):
+    import re
+
+    from polyscore.sources.fixtures import Fixtures
+    fx = Fixtures(spark, sf_small)
+    tables = fx.sumstats, fx.meta, fx.pheno, fx.own_pops, fx.variant
+    monkeypatch.setattr(deal, "TASK_ROWS", 500)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if phenotypes and variants were many
+    try:
+        plan = wide_export(*tables, category="quant")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = [re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+    assert keys.count("vid") == 2 and not any("pid" in k and "vid" in k for k in keys)  # the rows and the variants
+
+
+def test_numbers_of_the_wide_export_are_the_same_as_text(spark, sf_small):
+    from polyscore.plans.export import as_text
+    from polyscore.sources.fixtures import Fixtures
+    fx = Fixtures(spark, sf_small)
+    for category in ("quant", "binary"):
+        numbers, text = (wide_export(fx.sumstats, fx.meta, fx.pheno, fx.own_pops, fx.variant, category=category, text=t) for t in (False, True))
+        assert dict(numbers.dtypes)["beta_EUR"] == "double" and dict(text.dtypes)["beta_EUR"] == "string"
+        rows = [sorted(map(repr, df.collect())) for df in (as_text(numbers), text, as_text(text))]
+        assert rows[0] and rows[0] == rows[1] == rows[2]
+
+
+def test_inputs_are_staged_in_as_many_tasks_as_rows_fill(spark, sf_small, monkeypatch, tmp_path):
+    from types import SimpleNamespace
+
+    from polyscore.sources import fixtures, staged
+    monkeypatch.setattr(deal, "TASK_ROWS", 100)
+    key, seen = "spark.sql.shuffle.partitions", []
+    fx = fixtures.Fixtures(spark, sf_small, stage=False)
+    lines = fx.table("lineitem").count()
+    assert fx.meta.rdd.getNumPartitions() == -(-fixtures.META_ROWS * lines // 100)
+
+    def parquet(path):
+        seen.append(int(spark.conf.get(key)))
+        spark.range(3).write.parquet(path)
+
+    monkeypatch.setattr(fx, "derived", lambda name: SimpleNamespace(write=SimpleNamespace(mode=lambda m: SimpleNamespace(parquet=parquet))), raising=False)
+    monkeypatch.setattr(staged, "staged_path", lambda s, sf, name, build: build(str(tmp_path / "rows")) or str(tmp_path / "rows"))
+    before = spark.conf.get(key)
+    assert fx.staged("stat").count() == 3 and seen == [-(-lines // 100)] and spark.conf.get(key) == before
